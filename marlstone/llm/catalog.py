@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from .jaccard import op5_ngram_jaccard_join
+from .katz import op10_katz_backoff
 
-QUERIES = {f.__name__: f for f in (op5_ngram_jaccard_join,)}
+QUERIES = {f.__name__: f for f in (op5_ngram_jaccard_join, op10_katz_backoff)}
 ORACLE_SQL: dict = {}
