@@ -2,8 +2,15 @@
 
 from __future__ import annotations
 
+from .decontaminate import op2_decontaminate
 from .jaccard import op5_ngram_jaccard_join
 from .katz import op10_katz_backoff
+from .language import op8_language_mixture
 
-QUERIES = {f.__name__: f for f in (op5_ngram_jaccard_join, op10_katz_backoff)}
+QUERIES = {f.__name__: f for f in (
+    op2_decontaminate,
+    op5_ngram_jaccard_join,
+    op8_language_mixture,
+    op10_katz_backoff,
+)}
 ORACLE_SQL: dict = {}
