@@ -6,11 +6,17 @@ from .decontaminate import op2_decontaminate
 from .jaccard import op5_ngram_jaccard_join
 from .katz import op10_katz_backoff
 from .language import op8_language_mixture
+from .pii import op1_pii
+from .secrets import op9_secret_scan
+from .shards import op7_feistel_shards
 
 QUERIES = {f.__name__: f for f in (
+    op1_pii,
     op2_decontaminate,
     op5_ngram_jaccard_join,
+    op7_feistel_shards,
     op8_language_mixture,
+    op9_secret_scan,
     op10_katz_backoff,
 )}
 ORACLE_SQL: dict = {}
