@@ -93,15 +93,15 @@ def words(data: np.ndarray, offs: np.ndarray, sep: np.ndarray = SPACE) -> tuple[
     return start, end, np.searchsorted(offs, start, side="right") - 1
 
 
-def span_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of each span of the lower-cased (A-Z) bytes."""
+def span_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray, fold: np.ndarray | None = LOWER) -> np.ndarray:
+    """A 64-bit hash of each span of the bytes, with A-Z lower-cased unless ``fold`` says otherwise."""
     out = np.empty(len(start), dtype=np.uint64)
     i = 0
     while i < len(start):
         j = len(start) if len(data) <= WINDOW else max(i + 1, int(np.searchsorted(end, start[i] + WINDOW, side="right")))
         lo, hi = int(start[i]), int(end[j - 1])
         c = np.zeros(hi - lo + 1, dtype=np.uint64)
-        np.cumsum(RANDOM[LOWER[data[lo:hi]]] * powers(hi - lo, MULT), out=c[1:])
+        np.cumsum(RANDOM[data[lo:hi] if fold is None else fold[data[lo:hi]]] * powers(hi - lo, MULT), out=c[1:])
         a, b = start[i:j] - lo, end[i:j] - lo
         out[i:j] = (c[b] - c[a]) * powers(hi - lo, INVERSE)[a] + (b - a).astype(np.uint64)
         i = j

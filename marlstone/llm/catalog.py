@@ -3,9 +3,12 @@
 from __future__ import annotations
 
 from .decontaminate import op2_decontaminate
+from .forest import op4_prefix_forest
 from .jaccard import op5_ngram_jaccard_join
 from .katz import op10_katz_backoff
 from .language import op8_language_mixture
+from .lattice import op3_sentencepiece
+from .packing import op6_packed_ids
 from .pii import op1_pii
 from .secrets import op9_secret_scan
 from .shards import op7_feistel_shards
@@ -13,7 +16,10 @@ from .shards import op7_feistel_shards
 QUERIES = {f.__name__: f for f in (
     op1_pii,
     op2_decontaminate,
+    op3_sentencepiece,
+    op4_prefix_forest,
     op5_ngram_jaccard_join,
+    op6_packed_ids,
     op7_feistel_shards,
     op8_language_mixture,
     op9_secret_scan,

@@ -172,8 +172,8 @@ def contamination(docs: DataFrame, bench: DataFrame, id_col: str = "doc_id", tex
 def drop_contaminated(docs: DataFrame, bench: DataFrame, **columns) -> DataFrame:
     """The rows of ``docs`` that hold no test item. Rows with a null id stay: no decision reaches them."""
     id_col, text_col = columns.get("id_col", "doc_id"), columns.get("text_col", "text")
-    bad = contamination(docs, bench, **columns).where("n_items > 0").select("id", "same").distinct()
-    # Contaminated documents are few next to all; their numbers are what is shuffled or, if small, broadcast.
+    # Written first: Spark then knows how few they are, and shuffles the texts only if they are many.
+    bad = materialize(contamination(docs, bench, **columns).where("n_items > 0").select("id", "same").distinct())
     return docs.join(bad, (docs[id_col] == bad["id"]) & (F.xxhash64(docs[text_col].cast("string")) == bad["same"]), "left_anti")
 
 

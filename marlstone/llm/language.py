@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .blocks import CHUNK, LOWER, NOT_ALNUM, chunks, cuts, words
-from .store import read
+from .store import materialize, read
 
 BINS = 1 << 17
 TRAIN_DOCS = 20_000  # labelled documents that the model is fitted on, about; chosen by a hash of their id
@@ -171,6 +171,14 @@ def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: st
     return base.mapInArrow(_predict(docs.sparkSession.sparkContext.broadcast(model), rounds, penalty), "id long, lang_pred string, score double, langs array<string>, shares array<double>")
 
 
+def drop_unknown(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` whose text has a language: all but ``und``. A row with a null id is judged by null
+    ids together; it goes if one of them is ``und``."""
+    # Written first: Spark then knows how few they are, and shuffles the texts only if they are many.
+    gone = materialize(identify(docs, model, id_col, text_col).where("lang_pred = 'und'").select(F.col("id").alias("gone")).distinct())
+    return docs.join(gone, F.col(id_col).cast("long").eqNullSafe(F.col("gone")), "left_anti")
+
+
 def held_out(col: str = "doc_id"):
     return F.coalesce(F.crc32(F.col(col).cast("string")) % 3 == 1, F.lit(False))
 
