@@ -72,7 +72,7 @@ def plain_text(html: Column) -> Column:
     """Visible text: scripts, styles and inline headers go, tags and entities of blanks become blanks."""
     out = F.regexp_replace(html, r"(?is)<(script|style|ix:header)\b.*?</\1>", " ")
     out = F.regexp_replace(out, r"(?s)<[^>]*>", " ")
-    out = F.regexp_replace(out, r"(?i)&(nbsp|#160|#xa0|#8201|#8194|#8195|#x2009);|[    ]", " ")
+    out = F.regexp_replace(out, r"(?i)&(nbsp|#160|#xa0|#8201|#8194|#8195|#x2009);|[\u00A0\u2002\u2003\u2009]", " ")
     out = F.regexp_replace(F.regexp_replace(F.regexp_replace(out, "(?i)&amp;", "&"), "(?i)&lt;", "<"), "(?i)&gt;", ">")
     return F.trim(F.regexp_replace(out, r"\s+", " "))
 
