@@ -359,3 +359,17 @@ FROM lineitem WHERE l_shipdate <= TIMESTAMP '1998-09-02' GROUP BY 1, 2
 def source_mix_counts(spark: SparkSession, d: str) -> DataFrame:
     l = table(spark, d, "lineitem").where("l_shipdate <= timestamp_ntz '1998-09-02'")
     return l.groupBy("l_returnflag", "l_linestatus").agg(F.sum("l_quantity").cast("long").alias("sum_qty"), F.sum(F.round(F.col("l_extendedprice") * 100).cast("long")).alias("sum_cents"), F.count("*").alias("n"))
+
+
+@query("""
+SELECT 'doc' || (o_orderkey % 50) AS path, 'Price' AS concept, 'iso4217:USD' AS unit, CAST(o_orderdate AS DATE) AS period_end, 'Order=' || o_orderkey AS member, CAST(round(o_totalprice) AS BIGINT) * 1000 AS value FROM orders
+""")
+def parse_xbrl(spark: SparkSession, d: str) -> DataFrame:
+    """Inline documents made of the orders, 50 of them, parsed to facts again."""
+    from ..sources.xbrl import instance_facts
+
+    o = table(spark, d, "orders").select("o_orderkey", F.to_date("o_orderdate").alias("day"), F.round("o_totalprice").cast("long").alias("v"), F.concat(F.lit("doc"), F.col("o_orderkey") % 50).alias("path"))
+    context = F.format_string('<x:context id="c%d"><x:entity><x:segment><d:explicitMember dimension="Order">%d</d:explicitMember></x:segment></x:entity><x:period><x:instant>%s</x:instant></x:period></x:context><ix:nonFraction name="own:Price" contextRef="c%d" unitRef="u" scale="3">%d</ix:nonFraction>', "o_orderkey", "o_orderkey", F.col("day").cast("string"), "o_orderkey", "v")
+    head = '<html xmlns:ix="http://www.xbrl.org/2013/inlineXBRL" xmlns:x="http://www.xbrl.org/2003/instance" xmlns:d="http://xbrl.org/2006/xbrldi" xmlns:own="http://own"><x:unit id="u"><x:measure>iso4217:USD</x:measure></x:unit>'
+    docs = o.groupBy("path").agg(F.array_join(F.collect_list(context), "").alias("t")).select("path", F.concat(F.lit(head), "t", F.lit("</html>")).cast("binary").alias("content"))
+    return instance_facts(docs).select("path", "concept", "unit", "period_end", F.concat(F.lit("Order="), F.col("dimensions")["Order"]).alias("member"), F.col("value").cast("long").alias("value"))
