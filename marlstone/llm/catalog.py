@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from . import shards
 from .decontaminate import op2_decontaminate
 from .forest import op4_prefix_forest
 from .jaccard import op5_ngram_jaccard_join
@@ -25,4 +26,35 @@ QUERIES = {f.__name__: f for f in (
     op9_secret_scan,
     op10_katz_backoff,
 )}
-ORACLE_SQL: dict = {}
+#: The Feistel network in SQL: one pass over column x with the columns side and rows.
+def _pass() -> str:
+    left, right = "(x // side)", "(x % side)"
+    for a, b, c in shards.keys(shards.SEED):
+        left, right = right, f"(({left} + ((({right} + {a}) % {shards.PRIME}) * (({right} + {b}) % {shards.PRIME}) % {shards.PRIME} * {c} % {shards.PRIME})) % side)"
+    return f"({left} * side + {right})"
+
+
+ORACLE_SQL: dict = {
+    "op5_ngram_jaccard_join": r"""
+WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (SELECT doc_id, CASE WHEN len(w) >= 5 THEN list_distinct(list_transform(range(1, len(w) - 3), lambda i: hash(array_to_string(w[i:i + 4], ' '))))
+        WHEN len(w) > 0 THEN [hash(array_to_string(w, ' '))] ELSE [] END AS s FROM w),
+u AS (SELECT doc_id, len(s) AS n, unnest(s) AS h FROM s),
+m AS (SELECT h FROM u GROUP BY h HAVING count(*) > 1),
+v AS (SELECT doc_id, n, h FROM u SEMI JOIN m USING (h)),
+e AS MATERIALIZED (SELECT a.doc_id AS a, b.doc_id AS b FROM v a JOIN v b ON a.h = b.h AND a.doc_id <> b.doc_id
+        GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 180 * count(*) >= 80 * (a.n + b.n)),
+r(doc_id, c) AS (SELECT doc_id, doc_id FROM documents UNION SELECT e.b, r.c FROM r JOIN e ON e.a = r.doc_id)
+SELECT s.doc_id, len(s.s) AS n_shingles, x.component_id FROM s JOIN (SELECT doc_id, min(c) AS component_id FROM r GROUP BY doc_id) x USING (doc_id)
+""",
+    "op7_feistel_shards": f"""
+WITH RECURSIVE bytes AS (SELECT list(v ORDER BY i) AS t FROM (SELECT i, list_reduce(list_prepend(i, range(8)), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS v FROM range(256) AS q(i))),
+sized AS (SELECT doc_id, coalesce(strlen(text), 0) + 1 AS size, CASE WHEN text IS NOT NULL THEN
+    xor(list_reduce(list_prepend(4294967295, list_transform(regexp_extract_all(hex(encode(text)), '..'), lambda b: CAST('0x' || b AS BIGINT))), lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295) END AS text_crc32
+  FROM documents, bytes),
+n AS (SELECT *, row_number() OVER (ORDER BY ((coalesce(doc_id, 0) % {shards.BUCKETS}) + {shards.BUCKETS}) % {shards.BUCKETS}, doc_id NULLS FIRST, size, text_crc32 NULLS FIRST) - 1 AS x, count(*) OVER () AS rows FROM sized),
+p AS (SELECT *, CAST(ceil(sqrt(rows)) AS BIGINT) AS side, false AS done FROM n
+  UNION ALL SELECT doc_id, size, text_crc32, {_pass()}, rows, side, {_pass()} < rows FROM p WHERE NOT done)
+SELECT doc_id, CAST(size AS BIGINT) AS size, CAST(text_crc32 AS BIGINT) AS text_crc32, 'rows' AS law, CAST(x % {shards.SHARDS} AS INTEGER) AS shard, x // {shards.SHARDS} AS slot, CAST(NULL AS INTEGER) AS grown_shard FROM p WHERE done
+""",
+}

@@ -15,7 +15,7 @@ import sentencepiece
 from .blocks import mix, span_hashes
 
 BLANK = "▁"
-CHUNK = 4_000_000  # bytes of text at a time
+CHUNK = 2_000_000  # bytes of text at a time
 DEFAULT_MODEL = os.path.join("/opt/tokenizers", "piece_bpe_32k.model")
 
 

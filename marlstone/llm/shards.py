@@ -31,19 +31,6 @@ def keys(seed: int, rounds: int = ROUNDS) -> list[tuple[int, int, int]]:
     return out
 
 
-def feistel(x: str, side: str, seed: int = SEED) -> str:
-    """One pass of the network over pairs (left, right) of numbers below ``side``: a bijection of
-    0 .. side * side - 1. Works in Spark and in DuckDB, whose integer division is spelt by floor there."""
-    left, right = f"cast(floor({x} / {side}) as bigint)", f"({x} % {side})"
-    raise_to = [(left, right)]
-    for a, b, c in keys(seed):
-        left, right = raise_to[-1]
-        mixed = f"((({right} + {a}) % {PRIME}) * (({right} + {b}) % {PRIME}) % {PRIME} * {c} % {PRIME})"
-        raise_to.append((right, f"(({left} + {mixed}) % {side})"))
-    left, right = raise_to[-1]
-    return f"({left} * {side} + {right})"
-
-
 def _step(x: str, side: str, seed: int) -> str:
     """The network with each round's pair bound once, so the expression stays linear in the rounds."""
     pair = f"array({x} div {side}, {x} % {side})"
