@@ -144,29 +144,40 @@ def shingle_sets(data: np.ndarray, offs: np.ndarray, k: int) -> tuple[np.ndarray
     return d[new], sh[new]
 
 
-def pack_sorted(x: np.ndarray) -> bytes:
-    """Ascending unsigned numbers as differences, one plane for each byte: leading zeros then compress away."""
+def _squeeze(x: np.ndarray) -> bytes:
+    """One plane for each byte of the numbers, compressed; empty for none."""
     if not len(x):
         return b""
-    d = np.empty(len(x), dtype=np.uint64)
-    d[0], d[1:] = x[0], x[1:] - x[:-1]
-    return np.ascontiguousarray(d.view(np.uint8).reshape(-1, 8).T).tobytes()
+    planes = np.ascontiguousarray(x.view(np.uint8).reshape(len(x), -1).T)
+    return len(x).to_bytes(8, "little") + pa.Codec("zstd", 1).compress(planes, asbytes=True)
+
+
+def _spread(b: bytes, kind: str) -> np.ndarray:
+    if not b:
+        return np.empty(0, dtype=kind)
+    n, width = int.from_bytes(b[:8], "little"), np.dtype(kind).itemsize
+    planes = np.frombuffer(pa.Codec("zstd").decompress(b[8:], n * width), dtype=np.uint8).reshape(width, n)
+    return np.ascontiguousarray(planes.T).view(kind).ravel()
+
+
+def pack_sorted(x: np.ndarray) -> bytes:
+    """Ascending unsigned numbers as differences."""
+    d = np.array(x, dtype=np.uint64)
+    d[1:] -= x[:-1]
+    return _squeeze(d)
 
 
 def unpack_sorted(b: bytes) -> np.ndarray:
-    planes = np.frombuffer(b, dtype=np.uint8).reshape(8, -1)
-    return np.cumsum(np.ascontiguousarray(planes.T).view(np.uint64).ravel(), dtype=np.uint64)
+    return np.cumsum(_spread(b, "u8"), dtype=np.uint64)
 
 
 def pack(x: np.ndarray, kind: str) -> bytes:
-    """Numbers of a fixed width, one plane for each byte."""
-    a = np.ascontiguousarray(x, dtype=kind)
-    return np.ascontiguousarray(a.view(np.uint8).reshape(-1, a.itemsize).T).tobytes() if len(a) else b""
+    """Numbers of a fixed width."""
+    return _squeeze(np.ascontiguousarray(x, dtype=kind))
 
 
 def unpack(b: bytes, kind: str) -> np.ndarray:
-    w = np.dtype(kind).itemsize
-    return np.ascontiguousarray(np.frombuffer(b, dtype=np.uint8).reshape(w, -1).T).view(kind).ravel()
+    return _spread(b, kind)
 
 
 def part_of(h: np.ndarray, parts: int) -> np.ndarray:
