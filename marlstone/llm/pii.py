@@ -43,7 +43,7 @@ GUARD = {"email": "contains(text, '@')", "ip": r"text rlike '[0-9][.][0-9]'", "c
 
 #: What proposes further spans: kind, pattern, and what the text has to hold for it to be tried.
 PROPOSALS = (
-    ("email", rf"(?<!{LOCAL})[A-Za-z0-9._%+-]{{1,64}}\x20?(?:\(at\)|\[at\]|\x20at\x20)\x20?[A-Za-z0-9-]{{1,63}}(?:\x20?(?:\(dot\)|\[dot\]|\x20dot\x20|\.)\x20?[A-Za-z0-9-]{{2,63}}){{1,4}}+", r"text rlike '[(\\[ ](at|dot)[)\\] ]' and text rlike '(dot|[.][a-z])'"),
+    ("email", rf"(?<!{LOCAL})[A-Za-z0-9._%+-]{{1,64}}\x20?(?:\(at\)|\[at\]|\x20at\x20)\x20?[A-Za-z0-9-]{{1,63}}(?:(?:\x20?(?:\(dot\)|\[dot\])\x20?|\x20dot\x20|\.)[A-Za-z0-9-]{{2,63}}){{1,4}}+", r"text rlike '[(\\[ ](at|dot)[)\\] ]' and text rlike '(dot|[.][a-z])'"),
     ("phone", r"(?<![0-9A-Za-z.+-])(?:\([0-9]{2,4}\)\x20?|[0-9]{2,4}[\x20.-])[0-9]{3,4}[\x20.-][0-9]{3,4}(?![0-9A-Za-z-])", r"text rlike '[0-9]{3,4}[ .-][0-9]{3,4}'"),
     ("phone", r"(?<![0-9A-Za-z.+-])00[1-9][0-9]{8,12}(?![0-9A-Za-z])", "contains(text, '00')"),
     ("ssn", r"(?<![0-9A-Za-z.-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9A-Za-z-])", r"text rlike '[0-9]-[0-9]{2}-[0-9]'"),
@@ -51,8 +51,8 @@ PROPOSALS = (
     ("ip", r"(?<![0-9A-Za-z:])(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}(?![0-9A-Za-z:])", r"text rlike '[0-9A-Fa-f]:[0-9A-Fa-f]'"),
 )
 #: Words before a span that speak for and against it.
-FOR = r"(?i)(phone|tel|call|mobile|fax|cell|ssn|social security|mail|contact|reach|write to|iban|account|transfer|bank|host|address|server|telefon|mobil|kontakt|konto|ruf|téléphone|courriel|compte|correo|llame|cuenta|móvil)[^\n]{0,15}$"
-AGAINST = r"(?i)(version|order|invoice|page|part|serial|isbn|issn|item|sku|model|section|figure|total|pages|range|build|chapter|bestell|rechnung|commande|facture|pedido|factura)[^\n]{0,15}$"
+FOR = r"(?i)\b(phone|tel|call|mobile|fax|cell|ssn|social security|mail|contact|reach|write to|iban|account|transfer|bank|host|address|server|telefon|mobil|kontakt|konto|ruf|téléphone|courriel|compte|correo|llame|cuenta|móvil)[^\n]{0,15}$"
+AGAINST = r"(?i)\b(version|order|invoice|page|part|serial|isbn|issn|item|sku|model|section|figure|total|pages|range|build|chapter|bestell|rechnung|commande|facture|pedido|factura)[^\n]{0,15}$"
 
 
 def _features(x: str) -> str:
@@ -69,6 +69,8 @@ def _features(x: str) -> str:
         f"cast(size(regexp_extract_all({s}, '([0-9A-Za-z]+)', 1)) as double)",
         flag(f"{s} rlike '[(\\\\[](at|dot)[)\\\\]]'"),
         flag(f"{s} rlike '[.]'"),
+        flag(f"{s} rlike '[.] '"),
+        flag(f"{s} rlike {N.quoted(r'([(\[]dot[)\]]| dot )')}"),
         flag(f"{s} rlike '^[(]'"),
         flag(f"{before} rlike {N.quoted(FOR)}"),
         flag(f"{before} rlike {N.quoted(AGAINST)}"),
@@ -101,6 +103,7 @@ def examples(n: int = EXAMPLES) -> list[tuple[int, str, int]]:
     d = lambda k: "".join(r.choice("0123456789") for _ in range(k))
     name = lambda: r.choice(["anna", "j.smith", "kontakt", "m_lopez", "info", "luc.martin"])
     host = lambda: r.choice(["example", "mail", "firma", "correo-uno"])
+    word = lambda: "".join(r.choice(["th", "an", "er", "ein", "sch", "ou", "le", "ción", "os", "re"]) for _ in range(r.choice([1, 2, 3, 4])))
     tld = lambda: r.choice(["com", "org", "de", "fr", "es"])
     good_before = ["call me on ", "phone: ", "Tel. ", "my mobile is ", "Telefon ", "téléphone : ", "contact ", "llame al ", "reach us: "]
     bad_before = ["order no. ", "version ", "invoice ", "pages ", "part ", "serial ", "Rechnung ", "facture ", "pedido ", "model "]
@@ -114,7 +117,7 @@ def examples(n: int = EXAMPLES) -> list[tuple[int, str, int]]:
         if kind == "phone":
             text = r.choice(good_before) + phone() if good else r.choice([r.choice(bad_before) + phone(), r.choice(plain) + f"{d(4)}-{d(4)}-{d(4)}", r.choice(plain) + f"{year()} {year()} {year()}", r.choice(plain) + f"{d(3)} {d(3)} {d(3)}"])
         elif kind == "email":
-            text = r.choice(["write to ", "mail: ", "contact ", "", "Kontakt "]) + r.choice([f"{name()} (at) {host()} (dot) {tld()}", f"{name()}[at]{host()}[dot]{tld()}", f"{name()} at {host()} dot {tld()}"]) if good else r.choice(plain) + r.choice(["meet at noon. Then we", "look at this. The", "arrived at home. It", "at the dot of noon", "stay at it dot it"])
+            text = r.choice(["write to ", "mail: ", "contact ", "", "Kontakt "]) + r.choice([f"{name()} (at) {host()} (dot) {tld()}", f"{name()}[at]{host()}[dot]{tld()}", f"{name()} at {host()} dot {tld()}"]) if good else r.choice(plain) + r.choice(["meet at noon. Then we", "look at this. The", "arrived at home. It", "at the dot of noon", "stay at it dot it", *[f"{word()} at {word()}. {word().capitalize()} {word()}"] * 6])
         elif kind == "ssn":
             text = r.choice(["SSN ", "social security number ", "my ssn: "]) + f"{r.randrange(100, 600)}-{d(2)}-{r.randrange(1000, 9999)}" if good else r.choice(bad_before) + f"{r.choice(['000', '666', d(3)])}-{d(2)}-{d(4)}"
         elif kind == "iban":

@@ -67,7 +67,7 @@ def test_base_secrets_match_plain_patterns(spark):
 
 def test_trees_take_personal_data_and_leave_the_rest(spark):
     personal = ["call me on (415) 555-1234 today", "write to anna (at) example (dot) com now", "my SSN 123-45-6789.", "IBAN DE89 3704 0044 0532 0130 00 please", "host 2001:0db8:85a3:0000:0000:8a2e:0370:7334 up"]
-    clean = ["order no. 1234-5678-9012 came", "the years 1914 1918 1939 were", "meet at noon. Then we go", "version 2.0.1 of page 12", "It was 10 000 000 in all", "GPL 2.0. and 4.0. apply"]
+    clean = ["order no. 1234-5678-9012 came", "the years 1914 1918 1939 were", "meet at noon. Then we go", "version 2.0.1 of page 12", "It was 10 000 000 in all", "GPL 2.0. and 4.0. apply", "blest at and. Thannd", "Thatti at inheonstsh. Ndst"]
     got = {r.id: r.spans for r in pii.spans(spark.createDataFrame(list(enumerate(personal + clean)), SCHEMA)).collect()}
     assert all(len(got[i]) == 1 for i in range(len(personal))), got
     assert all(not got[i] for i in range(len(personal), len(got))), got
