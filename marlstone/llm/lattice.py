@@ -21,11 +21,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .blocks import MULT, U, chunks, mix, powers, span_hashes
-from .pieces import BLANK, CHUNK, DEFAULT_MODEL, Pieces, load, units
+from .blocks import MULT, U, chunks, mix, powers
+from .pieces import BLANK, DEFAULT_MODEL, Pieces, Units, load
 from .store import read
 
 SAMPLES = 2
+CHUNK = 6_000_000  # bytes of text that share a lattice
+DRAWN = 1_500_000  # bytes of text whose paths are drawn at a time
 INVERSE = pow(MULT, -1, 2**64)
 
 
@@ -42,11 +44,24 @@ class Lexicon:
         self.byte_log = float(np.log(weight[-1] / total))
         keys = np.array([self.hash_one(p.names[i]) for i in own], dtype=np.uint64)
         order = np.argsort(keys)
-        self.keys, self.ids = keys[order], np.array(own)[order]
+        self.keys, self.ids = keys[order], np.array(own, dtype=np.int32)[order]
         self.logs = logs[self.ids]
         self.longest = max(len(p.names[i]) for i in own)
-        self.bitmap = np.zeros(1 << 22, dtype=bool)
-        self.bitmap[(self.keys >> U(42)).astype(np.int64)] = True
+        # By the first bits of a hash: some piece with them, and whether a piece begins so at all.
+        self.slot = np.full(1 << 22, -1, dtype=np.int32)
+        self.slot[(self.keys >> U(42)).astype(np.int64)] = np.arange(len(self.keys), dtype=np.int32)
+        heads = {p.names[i][:w] for i in own for w in range(1, len(p.names[i]) + 1)}
+        self.begins = np.zeros(1 << 22, dtype=bool)
+        self.begins[[self.hash_one(x) >> 42 for x in heads]] = True
+
+    def find(self, h: np.ndarray) -> np.ndarray:
+        """The place of each hash among the keys, -1 where it is no piece."""
+        at = self.slot[(h >> U(42)).astype(np.int64)]
+        other = np.flatnonzero((at >= 0) & (self.keys[at] != h))
+        if len(other):  # another piece with the same first bits may be meant
+            near = np.minimum(np.searchsorted(self.keys, h[other]), len(self.keys) - 1)
+            at[other] = np.where(self.keys[near] == h[other], near, -1)
+        return at
 
     @staticmethod
     def hash_one(s: str) -> int:
@@ -66,7 +81,8 @@ def lexicon(path: str) -> Lexicon:
 
 
 class Lattice:
-    """Nodes and edges of distinct strings. A string of n characters has nodes 0 .. n; edges are sorted by node."""
+    """Nodes and edges of distinct strings. A string of n characters has nodes 0 .. n; edges are sorted by node, long
+    ones first."""
 
     def __init__(self, lex: Lexicon, strings: list[str]):
         size = np.fromiter(map(len, strings), np.int64, len(strings))
@@ -75,29 +91,33 @@ class Lattice:
         n = len(cp)
         c = np.zeros(n + 1, dtype=np.uint64)
         np.cumsum(mix(cp.astype(np.uint64) + U(77)) * powers(n, MULT), out=c[1:])
-        end = np.repeat(np.cumsum(size), size)
-        left = end - np.arange(n)  # characters from here to the string's end
+        left = (np.repeat(np.cumsum(size), size) - np.arange(n)).astype(np.int32)  # characters from here to the string's end
         src, width, piece, logs = [], [], [], []
         single = np.zeros(n, dtype=bool)
+        live = np.arange(n, dtype=np.int32)
         for w in range(1, lex.longest + 1):
-            i = np.flatnonzero(left >= w)
-            if not len(i):
+            live = live[left[live] >= w]
+            h = mix((c[live + w] - c[live]) * powers(n, INVERSE)[live])
+            first = lex.begins[(h >> U(42)).astype(np.int64)]
+            live, h = live[first], h[first]  # others begin no piece of this length or more
+            if not len(live):
                 break
-            h = mix((c[i + w] - c[i]) * powers(n, INVERSE)[i])
-            near = lex.bitmap[(h >> U(42)).astype(np.int64)]
-            i, h = i[near], h[near]
-            at = np.minimum(np.searchsorted(lex.keys, h), len(lex.keys) - 1)
-            ok = lex.keys[at] == h
-            i, at = i[ok], at[ok]
+            at = lex.find(h)
+            ok = at >= 0
+            i, at = live[ok], at[ok]
             if w == 1:
                 single[i] = True
-            src.append(i), width.append(np.full(len(i), w)), piece.append(lex.ids[at]), logs.append(lex.logs[at])
-        lone = np.flatnonzero(~single)
+            src.append(i), width.append(np.full(len(i), w, np.int32)), piece.append(lex.ids[at]), logs.append(lex.logs[at])
+        lone = np.flatnonzero(~single).astype(np.int32)
         octets = 1 + (cp[lone] > 0x7F) + (cp[lone] > 0x7FF) + (cp[lone] > 0xFFFF)
-        src.append(lone), width.append(np.ones(len(lone), np.int64)), piece.append(-1 - cp[lone].astype(np.int64)), logs.append(octets * lex.byte_log)
-        src, width, piece, logs = map(np.concatenate, (src, width, piece, logs))
+        src.append(lone), width.append(np.ones(len(lone), np.int32)), piece.append(-1 - cp[lone].astype(np.int32)), logs.append(octets * lex.byte_log)
+        # Long pieces first: they are the likely ones, and a draw looks at a node's edges in order.
+        src, width, piece, logs = (np.concatenate(x[::-1]) for x in (src, width, piece, logs))
+        order = np.argsort(src, kind="stable")
+        src, width, piece, logs = src[order], width[order], piece[order], logs[order]
         # Backward sums, by distance from the end; a string's last node has 0.
-        order = np.lexsort((width, src, left[src]))
+        far = left[src]
+        order = np.argsort(far.astype(np.uint16) if n == 0 or left.max() < 1 << 16 else far, kind="stable")
         s, w, l = src[order], width[order], logs[order]
         beta = np.zeros(n + 1)
         level = np.flatnonzero(np.append(True, left[s][1:] != left[s][:-1])) if len(s) else np.empty(0, np.int64)
@@ -106,10 +126,9 @@ class Lattice:
             v = l[a:b] + np.where(w[a:b] == left[s[a:b]], 0.0, beta[np.minimum(to, n)])
             first = np.flatnonzero(np.append(True, s[a + 1 : b] != s[a : b - 1]))
             beta[s[a:b][first]] = np.logaddexp.reduceat(v, first)
-        order = np.lexsort((width, src))
-        self.src, self.width, self.piece = src[order], width[order], piece[order]
+        self.src, self.width, self.piece = src, width, piece
         self.last = self.width == left[self.src]  # the edge ends the string
-        self.logp = logs[order] + np.where(self.last, 0.0, beta[np.minimum(self.src + self.width, n)]) - beta[self.src]
+        self.logp = logs + np.where(self.last, 0.0, beta[np.minimum(self.src + self.width, n)]) - beta[self.src]
         self.p = np.exp(self.logp)
         self.first_edge = np.searchsorted(self.src, np.arange(n + 1))
         self.start = np.cumsum(size) - size
@@ -301,23 +320,29 @@ def _coded(path: str, k: int, with_ids: bool, sample_ids: bool):
         for batch in batches:
             for i, j, data, offs in chunks(batch.column(2), CHUNK):
                 n = j - i
-                ids, per = p.encode(data, offs)
+                u = Units(data, offs)
+                ids, per = p.encode(data, offs, u)
                 back, at = p.decode(ids, per)
                 exact = np.diff(at) == np.diff(offs)
                 if len(back) == len(data):
-                    same = np.concatenate([[0], np.cumsum(back == data)])
+                    same = np.concatenate([[0], np.cumsum(back == data, dtype=np.int32 if len(data) < 1 << 31 else np.int64)])
                     exact &= same[offs[1:]] - same[offs[:-1]] == np.diff(offs)
                 else:
                     exact = np.array([back[at[t] : at[t + 1]].tobytes() == data[offs[t] : offs[t + 1]].tobytes() for t in range(n)])
-                start, end, doc = units(data, offs)
-                h = mix(span_hashes(data, start, end, None))
-                _, first, of = np.unique(h, return_index=True, return_inverse=True)
-                raw = data.tobytes()
-                strings = [BLANK + raw[a:b].decode().replace(" ", BLANK) for a, b in zip(start[first].tolist(), end[first].tolist(), strict=True)]
-                lat = Lattice(lex, strings)
+                lat = Lattice(lex, [BLANK + t.replace(" ", BLANK) for t in u.texts])
                 keys = mix(batch.column(1).slice(i, n).to_numpy(zero_copy_only=False).view(np.uint64))
-                paths, logp, value, threshold = samples(lat, of, doc, keys, k)
-                drawn = [piece_ids(p, lat, x, n) for x in paths]
+                logp, value, threshold = np.zeros((k, n)), np.full((k, n), -np.inf), np.full(n, -np.inf)
+                flat, count = [[] for _ in range(k)], [[] for _ in range(k)]
+                a = 0
+                while a < n:  # the lattice serves all texts of the chunk; paths are drawn for some at a time
+                    z = max(a + 1, int(np.searchsorted(offs, offs[a] + DRAWN, side="right")) - 1)
+                    s, e = np.searchsorted(u.doc, [a, z])
+                    paths, logp[:, a:z], value[:, a:z], threshold[a:z] = samples(lat, u.of[s:e], u.doc[s:e] - a, keys[a:z], k)
+                    for r, x in enumerate(paths):
+                        got, per_text = piece_ids(p, lat, x, z - a)
+                        flat[r].append(got.astype(np.int32)), count[r].append(per_text)
+                    a = z
+                drawn = [(np.concatenate(f), np.concatenate(c)) for f, c in zip(flat, count, strict=True)]
                 cut = lambda a, c: np.split(a.astype("<i4"), np.cumsum(c)[:-1])
                 own, drawn = cut(ids, per), [cut(a, c) for a, c in drawn]
                 score = logp - threshold

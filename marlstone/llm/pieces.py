@@ -8,6 +8,7 @@ library; the rest is gathering of arrays.
 from __future__ import annotations
 
 import os
+from itertools import chain
 
 import numpy as np
 import sentencepiece
@@ -36,6 +37,27 @@ def units(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray, n
     return start + ~at_start[start], end, np.minimum(doc, n - 1)
 
 
+def gathered(start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Indexes of all elements of runs that begin at ``start`` and have ``size`` elements, one run after the other."""
+    total = int(size.sum())
+    kind = np.int32 if max(total, int(start.max(initial=0)) + total) < 1 << 31 else np.int64
+    out = np.arange(total, dtype=kind)
+    out += np.repeat((start - (np.cumsum(size) - size)).astype(kind), size)
+    return out
+
+
+class Units:
+    """The units of texts, and the distinct ones among them: ``of`` is each unit's number among these."""
+
+    def __init__(self, data: np.ndarray, offs: np.ndarray):
+        self.start, self.end, self.doc = units(data, offs)
+        h = mix(span_hashes(data, self.start, self.end, None))
+        _, first, self.of = np.unique(h, return_index=True, return_inverse=True)
+        self.raw = data.tobytes()
+        self.empty = np.flatnonzero(self.end[first] == self.start[first])
+        self.texts = [self.raw[a:b].decode() for a, b in zip(self.start[first].tolist(), self.end[first].tolist(), strict=True)]
+
+
 class Pieces:
     """A model's vocabulary as arrays, and the coder."""
 
@@ -56,24 +78,21 @@ class Pieces:
         if any(BLANK in p.lstrip(BLANK) for p in self.names):
             raise ValueError("this model has pieces with a blank after other characters")
 
-    def encode(self, data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """The ids of all texts one after the other, and how many each text has; as the library gives them."""
+    def encode(self, data: np.ndarray, offs: np.ndarray, u: Units | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts one after the other, and how many each has; as the library gives them."""
         n = len(offs) - 1
-        start, end, doc = units(data, offs)
-        if not len(start):
+        u = u or Units(data, offs)
+        doc, of, raw = u.doc, u.of, u.raw
+        if not len(doc):
             return np.empty(0, np.int32), np.zeros(n, np.int64)
-        h = mix(span_hashes(data, start, end, None))
-        _, first, of = np.unique(h, return_index=True, return_inverse=True)
-        raw = data.tobytes()
-        texts = [raw[a:b].decode() for a, b in zip(start[first].tolist(), end[first].tolist(), strict=True)]
-        coded = self.sp.encode(texts, num_threads=1)
-        for i in np.flatnonzero(end[first] == start[first]):
+        coded = self.sp.encode(u.texts, num_threads=1)
+        for i in u.empty:
             coded[i] = [self.blank]
         size = np.fromiter(map(len, coded), np.int64, len(coded))
-        flat = np.fromiter((x for c in coded for x in c), np.int32, int(size.sum()))
+        flat = np.fromiter(chain.from_iterable(coded), np.int32, int(size.sum()))
         at = np.cumsum(size) - size
         count = size[of]
-        ids = flat[np.repeat(at[of], count) + np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)]
+        ids = flat[gathered(at[of], count)]
         per = np.bincount(doc, weights=count, minlength=n).astype(np.int64)
         # The library takes a blank's own sign for a blank; a unit border must not fall beside one.
         if BLANK.encode() in raw:
@@ -91,7 +110,7 @@ class Pieces:
         """The bytes of all texts and their offsets; the blank before each text is taken off."""
         size = self.size[ids]
         total = int(size.sum())
-        out = self.bytes[np.repeat(self.offset[ids], size) + np.arange(total) - np.repeat(np.cumsum(size) - size, size)]
+        out = self.bytes[gathered(self.offset[ids], size)]
         ends = np.cumsum(size)
         last = np.cumsum(per)
         offs = np.concatenate([[0], np.where(last > 0, np.append(ends, 0)[last - 1], 0)]).astype(np.int64)
@@ -99,8 +118,9 @@ class Pieces:
         keep = np.ones(total, dtype=bool)
         head = offs[:-1][full]
         keep[head[out[head] == 32]] = False
-        c = np.concatenate([[0], np.cumsum(keep)])
-        return out[keep], c[offs]
+        c = np.zeros(total + 1, dtype=np.int32 if total < 1 << 31 else np.int64)
+        np.cumsum(keep, out=c[1:])
+        return out[keep], c[offs].astype(np.int64)
 
 
 _loaded: dict[str, Pieces] = {}
