@@ -26,8 +26,8 @@ from .pieces import BLANK, DEFAULT_MODEL, Pieces, Units, load
 from .store import read
 
 SAMPLES = 2
-CHUNK = 6_000_000  # bytes of text that share a lattice
-DRAWN = 1_500_000  # bytes of text whose paths are drawn at a time
+CHUNK = 2_000_000  # bytes of text that share a lattice
+DRAWN = 500_000  # bytes of text whose paths are drawn at a time
 INVERSE = pow(MULT, -1, 2**64)
 
 
