@@ -39,9 +39,9 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The ids of each document, whether they decode to its text, and digests of its sampled segmentations."""
-    found = coded(docs, sample_ids=False)
-    return found.select(F.col("id").alias("doc_id"), F.size("ids").alias("n_ids"), "ids", "exact", "samples")
+    """The ids of each document as 32-bit numbers, whether they decode to its text, and digests of its sampled segmentations."""
+    found = coded(docs, sample_ids=False, as_bytes=True)
+    return found.select(F.col("id").alias("doc_id"), (F.octet_length("ids") / 4).cast("int").alias("n_ids"), "ids", "exact", "samples")
 
 
 STAGES = [

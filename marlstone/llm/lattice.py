@@ -313,7 +313,7 @@ def piece_ids(p: Pieces, lat: Lattice, path: Path, n: int) -> tuple[np.ndarray,
 SAMPLE = pa.struct([("ids", pa.list_(pa.int32())), ("logp", pa.float64()), ("value", pa.float64()), ("log_inclusion", pa.float64())])
 
 
-def _coded(path: str, k: int, with_ids: bool, sample_ids: bool):
+def _coded(path: str, k: int, with_ids: bool, sample_ids: bool, as_bytes: bool = False):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         p = load(path)
         lex = lexicon(path)
@@ -351,7 +351,7 @@ def _coded(path: str, k: int, with_ids: bool, sample_ids: bool):
                 digest = lambda a: np.array([len(a), zlib.crc32(a.tobytes()) - 2**31], np.int32)
                 show, drew = (lambda a: a) if with_ids else digest, (lambda a: a) if sample_ids else digest
                 rows = [[{"ids": drew(drawn[r][t]), "logp": logp[r, t], "value": value[r, t], "log_inclusion": 0.0 if np.isneginf(threshold[t]) else inclusion[r, t]} for r in range(k) if not np.isneginf(value[r, t])] if per[t] else [] for t in range(n)]
-                yield pa.record_batch([batch.column(0).slice(i, n), pa.array([show(a) for a in own], pa.list_(pa.int32())), pa.array(exact), pa.array(rows, pa.list_(SAMPLE))], names=["id", "ids", "exact", "samples"])
+                yield pa.record_batch([batch.column(0).slice(i, n), pa.array([a.tobytes() for a in own], pa.binary()) if as_bytes else pa.array([show(a) for a in own], pa.list_(pa.int32())), pa.array(exact), pa.array(rows, pa.list_(SAMPLE))], names=["id", "ids", "exact", "samples"])
 
     return run
 
@@ -359,7 +359,7 @@ def _coded(path: str, k: int, with_ids: bool, sample_ids: bool):
 OUT = "id long, ids array<int>, exact boolean, samples array<struct<ids: array<int>, logp: double, value: double, log_inclusion: double>>"
 
 
-def coded(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", model: str = DEFAULT_MODEL, k: int = SAMPLES, seed: int = 1, with_ids: bool = True, sample_ids: bool = True) -> DataFrame:
+def coded(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", model: str = DEFAULT_MODEL, k: int = SAMPLES, seed: int = 1, with_ids: bool = True, sample_ids: bool = True, as_bytes: bool = False) -> DataFrame:
     """(id, ids, exact, samples) for each row of ``docs``: the model's own encoding, whether its decoding gives
     the text back byte by byte, and up to ``k`` different sampled segmentations, largest perturbed value first,
     each with ids, log probability, value and log of its inclusion probability.
@@ -369,11 +369,12 @@ def coded(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", model
     false, ids (those of samples) are digests: their number, and their CRC-32 less 2**31. A null or empty text has no ids
     and no samples; a text with one segmentation has one sample. Texts that hold U+2581 are sampled as if it
     were a blank, and their decoding is not exact. Repeated rows give equal rows; a null id counts as 0 for
-    the noise. Other columns are not looked at.
+    the noise. Other columns are not looked at. With
+    ``as_bytes`` a row's ids are little-endian 32-bit numbers in a binary cell, which takes a writer less memory.
     """
     key = F.xxhash64(F.coalesce(F.col(id_col).cast("long"), F.lit(0)), F.lit(seed))
     base = docs.select(F.col(id_col).cast("long").alias("id"), key.alias("key"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
-    return base.mapInArrow(_coded(model, k, with_ids, sample_ids), OUT)
+    return base.mapInArrow(_coded(model, k, with_ids, sample_ids, as_bytes), OUT.replace("ids array<int>", "ids binary", 1) if as_bytes else OUT)
 
 
 def op3_sentencepiece(spark, sf_dir: str) -> DataFrame:

@@ -21,5 +21,5 @@ def test_stages_take_effect(spark, tmp_path):
     assert kept == [[1, 2, 3, 4, 7], [1, 3, 4, 7], [1, 4, 7], [1, 4, 7], [1, 4, 7]]
     clean = {r.doc_id: r for r in spark.read.parquet(str(tmp_path / "out3")).collect()}
     assert clean[4].text.startswith("write to [EMAIL] c0") and clean[4].n_chars == len(clean[4].text)
-    assert all(r.exact and len(r.ids) == r.n_ids for r in docs.collect())
+    assert all(r.exact and len(r.ids) == 4 * r.n_ids for r in docs.collect())
     assert pipeline.run(spark, str(tmp_path)).count() == 3
