@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .blocks import NOT_ALNUM, U, chunks, mix, word_hashes
-from .store import materialize, read
+from .store import materialize, read, row_is
 
 #: The seeds, 1 for a position that counts.
 MASKS = ("111101111", "11011011011", "1110010111")
@@ -170,11 +170,11 @@ def contamination(docs: DataFrame, bench: DataFrame, id_col: str = "doc_id", tex
 
 
 def drop_contaminated(docs: DataFrame, bench: DataFrame, **columns) -> DataFrame:
-    """The rows of ``docs`` that hold no test item. Rows with a null id stay: no decision reaches them."""
+    """The rows of ``docs`` that hold no test item. Each row is judged by its own text; ids may be null or repeated."""
     id_col, text_col = columns.get("id_col", "doc_id"), columns.get("text_col", "text")
     # Written first: Spark then knows how few they are, and shuffles the texts only if they are many.
     bad = materialize(contamination(docs, bench, **columns).where("n_items > 0").select("id", "same").distinct())
-    return docs.join(bad, (docs[id_col] == bad["id"]) & (F.xxhash64(docs[text_col].cast("string")) == bad["same"]), "left_anti")
+    return docs.join(bad, row_is(docs, id_col, text_col, bad), "left_anti")
 
 
 def op2_decontaminate(spark, sf_dir: str) -> DataFrame:

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from .blocks import U, chunks, cuts, mix, pack, pack_sorted, part_of, runs, shingle_sets, unpack, unpack_sorted
 from .components import components
-from .store import materialize, partitions
+from .store import materialize, partitions, row_is
 
 BLOCK = 1_000_000  # entries that a task packs together
 SEEDS = 8  # leaders that a group is compared with in a round before the lists are searched
@@ -41,11 +41,11 @@ def set_keys(d: np.ndarray, sh: np.ndarray, n_docs: int) -> tuple[np.ndarray, np
 def _keyed(k: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids = batch.column(0)
-            for i, j, data, offs in chunks(batch.column(1)):
+            own = [n for n in batch.schema.names if n != "text"]
+            for i, j, data, offs in chunks(batch.column("text")):
                 d, sh = shingle_sets(data, offs, k)
                 n, key = set_keys(d, sh, j - i)
-                yield pa.record_batch([ids.slice(i, j - i), pa.array(n), pa.array(key, mask=n == 0)], names=["id", "n", "key"])
+                yield pa.record_batch([*(batch.column(x).slice(i, j - i) for x in own), pa.array(n), pa.array(key, mask=n == 0)], names=[*own, "n", "key"])
 
     return run
 
@@ -157,11 +157,20 @@ def linked_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     whole sequence as one shingle. Repeated rows and ids are kept, one row each. Shingles are compared by
     hash, at least 56 bits. Other columns of ``docs`` play no part, whatever their names.
     """
+    known = _labelled(docs, id_col, text_col, k, percent)
+    least = materialize(known.where("key is not null").groupBy("comp").agg(F.min("id").alias("component_id")))
+    return known.join(least, "comp", "left").select("id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "id").alias("component_id"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
+
+
+def _labelled(docs: DataFrame, id_col: str, text_col: str, k: int, percent: int, with_same: bool = False) -> DataFrame:
+    """One row for each row of ``docs``: (id, n, key, comp, n_links), comp the least key of the component, null
+    as key for an empty set; ``with_same`` adds a hash of the text."""
     spark = docs.sparkSession
     n_parts = partitions(spark)
     parts = 4 * n_parts
-    base = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    keyed = base.mapInArrow(_keyed(k), "id long, n long, key long")
+    same = [F.xxhash64(F.col(text_col).cast("string")).alias("same")] if with_same else []
+    base = docs.select(F.col(id_col).cast("long").alias("id"), *same, F.col(text_col).cast("string").alias("text"))
+    keyed = base.mapInArrow(_keyed(k), f"id long, {'same long, ' if with_same else ''}n long, key long")
     packed = base.select("text").mapInArrow(_packed(k, parts), ENTRY_SQL)
     shared = packed.repartition(n_parts, "part").sortWithinPartitions("part").mapInArrow(_shared, ENTRY_SQL)
     sets = shared.repartition(n_parts, "block").sortWithinPartitions("block", "part").mapInArrow(_sets(percent), "key long, n long, q long, ids array<long>, b0 long, b1 long, b2 long, b3 long")
@@ -224,9 +233,7 @@ def linked_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     links = first.unionByName(second)
     degree = links.select("a").unionByName(links.select(F.col("b").alias("a"))).groupBy(F.col("a").alias("key")).agg(F.count("*").alias("n_links"))
     labels = materialize(_relabelled(known, second).select("key", "comp").join(degree, "key", "left"))
-    known = materialize(keyed.join(labels, "key", "left").withColumn("comp", F.coalesce("comp", "key")))
-    least = materialize(known.where("key is not null").groupBy("comp").agg(F.min("id").alias("component_id")))
-    return known.join(least, "comp", "left").select("id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "id").alias("component_id"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
+    return materialize(keyed.join(labels, "key", "left").withColumn("comp", F.coalesce("comp", "key")))
 
 
 def _relabelled(known: DataFrame, pairs: DataFrame) -> DataFrame:
@@ -255,11 +262,23 @@ def _verified(sets: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
 
 
 def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5, percent: int = 80) -> DataFrame:
-    """The rows of ``docs`` that are the least id of their component; rows that repeat an id go with it."""
-    found = linked_components(docs, id_col, text_col, k, percent)
+    """One row of ``docs`` for each component, and all rows whose set is empty. Of a component it is one of least id,
+    null ids last, then of least hash of the text; of rows that repeat both, one by the other columns."""
+    known = _labelled(docs, id_col, text_col, k, percent, with_same=True)
+    texts = materialize(known.where("key is not null").groupBy("comp", "id", "same").agg(F.count("*").alias("rows")))
+    first = texts.groupBy("comp").agg(F.min(F.struct(F.col("id").isNull().alias("x"), "id", "same")).alias("h"))
+    judged = texts.join(first, "comp").select("id", "same", "rows", F.expr("id <=> h.id and same = h.same").alias("kept"))
     # Written first: Spark then knows how few they are, and shuffles the texts only if they are many.
-    gone = materialize(found.where("id <> component_id").select(F.col("id").alias("gone")).distinct())
-    return docs.join(gone, F.col(id_col) == F.col("gone"), "left_anti")
+    marked = materialize(judged.where("not kept or rows > 1"))
+    out = docs.join(marked, row_is(docs, id_col, text_col, marked), "left_anti")
+    twice = marked.where("kept")
+    if twice.isEmpty():
+        return out
+    # A hash of all columns: the same row again in a retry.
+    order = F.xxhash64(*[docs[c] for c, t in docs.dtypes if "map<" not in t])
+    one = docs.join(twice, row_is(docs, id_col, text_col, twice), "left_semi")
+    one = one.groupBy(F.col(id_col).cast("long").alias("i"), F.xxhash64(F.col(text_col).cast("string")).alias("s")).agg(F.min_by(F.struct(*docs.columns), order).alias("row"))
+    return out.unionByName(one.select("row.*"))
 
 
 def op5_ngram_jaccard_join(spark, sf_dir: str) -> DataFrame:

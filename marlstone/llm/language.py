@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .blocks import CHUNK, LOWER, NOT_ALNUM, chunks, cuts, words
-from .store import materialize, read
+from .store import materialize, read, row_is
 
 BINS = 1 << 17
 TRAIN_DOCS = 20_000  # labelled documents that the model is fitted on, about; chosen by a hash of their id
@@ -144,8 +144,8 @@ def _predict(model, rounds: int, penalty: float):
         m: Model = model.value
         names = np.array([*m.langs, "und"], dtype=object)
         for batch in batches:
-            letter = batch.column(1).to_numpy(zero_copy_only=False)
-            for i, j, data, offs in chunks(batch.column(2), max(10_000, CHUNK * 4 // max(4, len(m.langs)))):
+            letter = batch.column("letter").to_numpy(zero_copy_only=False)
+            for i, j, data, offs in chunks(batch.column("text"), max(10_000, CHUNK * 4 // max(4, len(m.langs)))):
                 share, sure = m.mixtures(data, offs, rounds, penalty)
                 known = letter[i:j] & (share.sum(axis=1) > 0) if len(m.langs) else np.zeros(j - i, bool)
                 top = np.where(known, share.argmax(axis=1), len(m.langs)) if len(m.langs) else np.zeros(j - i, np.int64)
@@ -153,30 +153,33 @@ def _predict(model, rounds: int, penalty: float):
                 order = np.argsort(-share, axis=1, kind="stable")
                 sets = [[names[k] for k in o if share[t, k] > 0] if known[t] else [] for t, o in enumerate(order)]
                 parts = [[float(share[t, k]) for k in o if share[t, k] > 0] if known[t] else [] for t, o in enumerate(order)]
-                yield pa.record_batch([batch.column(0).slice(i, j - i), pa.array(names[top], pa.string()), pa.array(np.clip(score, 0, 1)), pa.array(sets, pa.list_(pa.string())), pa.array(parts, pa.list_(pa.float64()))], names=["id", "lang_pred", "score", "langs", "shares"])
+                own = [n for n in batch.schema.names if n not in ("letter", "text")]
+                yield pa.record_batch([*(batch.column(n).slice(i, j - i) for n in own), pa.array(names[top], pa.string()), pa.array(np.clip(score, 0, 1)), pa.array(sets, pa.list_(pa.string())), pa.array(parts, pa.list_(pa.float64()))], names=[*own, "lang_pred", "score", "langs", "shares"])
 
     return run
 
 
-def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", rounds: int = ROUNDS, penalty: float = PENALTY) -> DataFrame:
+def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", rounds: int = ROUNDS, penalty: float = PENALTY, with_same: bool = False) -> DataFrame:
     """(id, lang_pred, score, langs, shares) for each row of ``docs``: the language of the largest share, that
     share times the certainty of the best single language, and the selected languages with their shares.
 
     Whole texts are read. A null text, one without a letter, or any text under a model without languages is
     ``und`` with score 0 and no languages. Ties go to the language first in order. Rows, also repeated ones,
-    give one row each; other columns are not looked at.
+    give one row each; other columns are not looked at. ``with_same`` adds a hash of the text, which tells
+    texts of one id apart.
     """
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    base = docs.select(F.col(id_col).cast("long").alias("id"), text.rlike(r"\p{L}").alias("letter"), text.alias("text"))
-    return base.mapInArrow(_predict(docs.sparkSession.sparkContext.broadcast(model), rounds, penalty), "id long, lang_pred string, score double, langs array<string>, shares array<double>")
+    same = [F.xxhash64(F.col(text_col).cast("string")).alias("same")] if with_same else []
+    base = docs.select(F.col(id_col).cast("long").alias("id"), *same, text.rlike(r"\p{L}").alias("letter"), text.alias("text"))
+    return base.mapInArrow(_predict(docs.sparkSession.sparkContext.broadcast(model), rounds, penalty), f"id long, {'same long, ' if with_same else ''}lang_pred string, score double, langs array<string>, shares array<double>")
 
 
 def drop_unknown(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` whose text has a language: all but ``und``. A row with a null id is judged by null
-    ids together; it goes if one of them is ``und``."""
+    """The rows of ``docs`` whose text has a language: all but ``und``. Each row is judged by its own text; ids may
+    be null or repeated."""
     # Written first: Spark then knows how few they are, and shuffles the texts only if they are many.
-    gone = materialize(identify(docs, model, id_col, text_col).where("lang_pred = 'und'").select(F.col("id").alias("gone")).distinct())
-    return docs.join(gone, F.col(id_col).cast("long").eqNullSafe(F.col("gone")), "left_anti")
+    gone = materialize(identify(docs, model, id_col, text_col, with_same=True).where("lang_pred = 'und'").select("id", "same").distinct())
+    return docs.join(gone, row_is(docs, id_col, text_col, gone), "left_anti")
 
 
 def held_out(col: str = "doc_id"):

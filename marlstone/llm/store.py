@@ -5,7 +5,8 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
@@ -39,3 +40,8 @@ def partitions(spark: SparkSession) -> int:
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
+
+
+def row_is(docs: DataFrame, id_col: str, text_col: str, decided: DataFrame) -> Column:
+    """The rows of ``docs`` that a row of ``decided`` (id, same) means: by id, null or not, and hash of the text."""
+    return docs[id_col].cast("long").eqNullSafe(decided["id"]) & (F.xxhash64(docs[text_col].cast("string")) == decided["same"])
