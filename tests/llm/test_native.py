@@ -103,3 +103,26 @@ def test_digest_columns(spark):
     row = pii.op1_pii(spark, "/root/testdata/sf0.001").orderBy("doc_id").first()
     text = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").where(f"doc_id = {row.doc_id}").first().text
     assert row.base_sha256 == hashlib.sha256(",".join(plain_pii(text)).encode()).hexdigest()
+
+
+def test_random_strings_of_any_length_are_secrets_and_words_are_not(spark):
+    r = random.Random(7)
+    digits, lower = "0123456789", "abcdefghijklmnopqrstuvwxyz"
+    both = digits + lower + lower.upper()
+    lengths = {"b64": (both + "+/", (20, 40, 86, 172, 344, 1600)), "url": (both + "-_", (20, 86, 1600)), "alnum": (both, (20, 32)), "lower": (digits + lower, (20, 32))}
+    rows, kind = [], {}
+    for name, (chars, sizes) in lengths.items():
+        for n in sizes:
+            for _ in range(60):
+                kind[len(rows)] = (name, n)
+                rows.append((len(rows), "see " + "".join(r.choice(chars) for _ in range(n)) + " there"))
+    words = ["/usr/lib/python3/dist-packages/numpy1", "//www/articles/2024/05/a-fine-title-2", "----BEGIN-RSA-PRIVATE-KEY2----", "the_quick_brown_fox_jumps_12_times", "src/main/java/HttpClient/BaseTest1", "Donaudampfschifffahrtsgesellschaft1"]
+    got = {x.id: x.spans for x in secrets.spans(spark.createDataFrame(rows + [(10_000 + i, w) for i, w in enumerate(words)], SCHEMA).repartition(4)).collect()}
+    assert all(not got[10_000 + i] for i in range(len(words)))
+    found = Counter(kind[i] for i in kind if got[i])
+    assert all(found[k] >= 56 for k in set(kind.values())), found
+
+
+def test_long_runs_of_words_need_no_stack(spark):
+    rows = [(1, "word1/" * 20_000), (2, "=+" * 20_000 + "a1")]
+    assert all(not x.spans for x in secrets.spans(spark.createDataFrame(rows, SCHEMA)).collect())
