@@ -1,13 +1,16 @@
 """Benchmark decontamination by spaced-seed hashing.
 
 Fixed masks select some token positions of a window and ignore the others, so a substituted word at an ignored
-position does not hide a match. Masked hashes of the test items meet those of all documents; around each hit
-the item is laid along the document on the hit's diagonal and compared token by token.
+position does not hide a match. The masks are such that every stretch that agrees well enough shows one: with up
+to s substitutions, positions are dealt into s + 2 classes, and some mask ignores any s of these. Masked hashes of
+the test items meet those of all documents; around each hit the item is laid along the document on the hit's
+diagonal and compared token by token.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -17,10 +20,20 @@ from pyspark.sql import functions as F
 from .blocks import NOT_ALNUM, U, chunks, mix, word_hashes
 from .store import materialize, read, row_is
 
-#: The seeds, 1 for a position that counts.
-MASKS = ("111101111", "11011011011", "1110010111")
 SEGMENT = 13  # tokens of the stretch that has to agree, or the whole item if it is shorter
 PERCENT = 80  # of the stretch's tokens that agree at least
+
+
+def masks_of(n: int) -> tuple[str, ...]:
+    """Seeds, 1 for a position that counts, of which n tokens show one whenever enough of them agree."""
+    other = n * (100 - PERCENT) // 100
+    free = combinations(range(other + 2), other)
+    return tuple("".join("0" if other and i % (other + 2) in f else "1" for i in range(n)) for f in free)
+
+
+#: The seeds of a whole item of 1 to 12 tokens, and of a stretch of a longer one.
+SEEDS = {n: masks_of(n) for n in range(1, SEGMENT + 1)}
+MASKS = tuple(m for masks in SEEDS.values() for m in masks)
 INDEX_TOKENS = 1_000_000  # tokens of test items that are broadcast together; more are taken in further passes
 BITS = 22
 
@@ -46,31 +59,31 @@ class Index:
         self.start = np.cumsum(size) - size
         self.size = size
         self.tokens = np.concatenate([h for _, h in items]) if items else np.empty(0, np.uint64)
-        least = min(map(len, MASKS))
-        #: A short item is sought whole.
-        self.masks = [*MASKS, *("1" * n for n in sorted({int(n) for n in size if n < least}))]
-        self.hashes, self.item, self.pos, self.bitmap = [], [], [], []
-        for mask in self.masks:
-            short = mask not in MASKS
-            own = [(masked_hashes(h, mask), k) for k, (_, h) in enumerate(items) if not short or len(h) == len(mask)]
-            x = np.concatenate([a for a, _ in own] or [np.empty(0, np.uint64)])
-            item = np.repeat(np.array([k for _, k in own], dtype=np.int64), [len(a) for a, _ in own])
-            pos = np.concatenate([np.arange(len(a)) for a, _ in own] or [np.empty(0, np.int64)])
-            order = np.argsort(x, kind="stable")
-            bitmap = np.zeros(1 << BITS, dtype=bool)
-            bitmap[(x >> U(64 - BITS)).astype(np.int64)] = True
-            self.hashes.append(x[order]), self.item.append(item[order]), self.pos.append(pos[order]), self.bitmap.append(bitmap)
+        self.masks, self.hashes, self.item, self.pos, self.bitmap = [], [], [], [], []
+        for n in sorted({min(int(n), SEGMENT) for n in size} or {SEGMENT}):
+            # A short item is sought as a whole, by masks of its own length.
+            items_of = [(k, h) for k, (_, h) in enumerate(items) if min(len(h), SEGMENT) == n]
+            for mask in SEEDS[n]:
+                own = [(masked_hashes(h, mask), k) for k, h in items_of]
+                x = np.concatenate([a for a, _ in own] or [np.empty(0, np.uint64)])
+                item = np.repeat(np.array([k for _, k in own], dtype=np.int32), [len(a) for a, _ in own])
+                pos = np.concatenate([np.arange(len(a), dtype=np.int32) for a, _ in own] or [np.empty(0, np.int32)])
+                order = np.argsort(x, kind="stable")
+                bits = min(BITS, 8 + len(x).bit_length())
+                bitmap = np.zeros(1 << bits, dtype=bool)
+                bitmap[(x >> U(64 - bits)).astype(np.int64)] = True
+                self.masks.append(mask), self.hashes.append(x[order]), self.item.append(item[order]), self.pos.append(pos[order]), self.bitmap.append(bitmap)
 
     def hits(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(item, diagonal) of all hits, without repeats; a diagonal is the token where the item would start."""
         items, diagonals = [], []
         for mask, own, item, pos, bitmap in zip(self.masks, self.hashes, self.item, self.pos, self.bitmap, strict=True):
             x = masked_hashes(h, mask)
-            at = np.flatnonzero(bitmap[(x >> U(64 - BITS)).astype(np.int64)]) if len(own) else np.empty(0, np.int64)
+            at = np.flatnonzero(bitmap[(x >> U(65 - len(bitmap).bit_length())).astype(np.int64)]) if len(own) else np.empty(0, np.int64)
             lo, hi = np.searchsorted(own, x[at], side="left"), np.searchsorted(own, x[at], side="right")
             n = hi - lo
             k = np.repeat(lo, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-            items.append(item[k]), diagonals.append(np.repeat(at, n) - pos[k])
+            items.append(item[k].astype(np.int64)), diagonals.append(np.repeat(at, n) - pos[k])
         both = np.unique(np.stack([np.concatenate(items), np.concatenate(diagonals)], axis=1), axis=0)
         return both[:, 0], both[:, 1]
 
@@ -141,8 +154,8 @@ def contamination(docs: DataFrame, bench: DataFrame, id_col: str = "doc_id", tex
     length; without any, n_items is 0 and the rest null. ``same`` tells texts of one id apart.
 
     Tokens are runs of letters, digits and non-ASCII characters, A-Z lower-cased. A document holds an item if
-    on some diagonal 13 tokens in a row, or the whole of a shorter item, agree in 80 % or more; a stretch has
-    to show one of the masks, or a whole short item, unchanged to be looked at. Null, empty and wordless texts
+    on some diagonal 13 tokens in a row, or the whole of a shorter item, agree in 80 % or more; the masks miss
+    none of these. Null, empty and wordless texts
     and items hold nothing and are held by nothing; an empty benchmark is held by nothing. Repeated rows and
     items count as they are. Other columns are not looked at.
 

@@ -1,5 +1,6 @@
 import random
 import re
+from itertools import combinations
 
 import pytest
 
@@ -69,3 +70,20 @@ def test_drop_keeps_clean_rows_and_columns(spark):
     empty = spark.createDataFrame([], BENCH)
     assert drop_contaminated(docs, empty).count() == 5
     assert drop_contaminated(spark.createDataFrame([], DOCS), empty).count() == 0
+
+
+def test_every_pattern_that_the_rule_accepts_is_found(spark):
+    """All copies of an item with as many substitutions as 80 % of 13 tokens, or of a shorter item, allow; no masks."""
+    docs, bench, want = [], [], {}
+    for n in (*range(1, 14), 15, 20):
+        item = [f"i{n}w{k}" for k in range(n)]
+        bench.append((n, " ".join(item)))
+        need = min(SEGMENT, n)
+        for subs in range(4):
+            for gone in combinations(range(n), subs):
+                same = [k not in gone for k in range(n)]
+                i = len(docs)
+                want[i] = any(100 * sum(same[k : k + need]) >= PERCENT * need for k in range(n - need + 1))
+                docs.append((i, " ".join(["before", *(w if s else "other" for w, s in zip(item, same, strict=True)), "after"])))
+    got = contamination(spark.createDataFrame(docs, DOCS).repartition(4), spark.createDataFrame(bench, BENCH))
+    assert {r.id: r.n_items == 1 for r in got.collect()} == want
