@@ -123,13 +123,33 @@ class Model:
         return share, sure
 
 
+def _cap(sizes: list[int], total: int) -> float:
+    """What each size is cut to so that their sum is ``total`` at most."""
+    left = total
+    for k, n in enumerate(sorted(sizes)):
+        if n * (len(sizes) - k) > left:
+            return left / (len(sizes) - k)
+        left -= n
+    return float("inf")
+
+
+def _sample(have: DataFrame, max_docs: int) -> DataFrame:
+    """About ``max_docs`` rows of ``have`` (id, lang, text) if there are more; sizes of languages are estimates."""
+    sizes = have.groupBy("lang").agg(F.count("*").alias("n"), F.approx_count_distinct(F.xxhash64("id", "text")).alias("m")).collect()
+    if sum(r["n"] for r in sizes) <= max_docs:
+        return have
+    cap = _cap([r["m"] for r in sizes], max_docs)
+    part = have.sparkSession.createDataFrame([(r["lang"], int(min(1.0, cap / r["m"]) * (1 << 31))) for r in sizes], "lang string, below long")
+    taken = F.pmod(F.xxhash64("id", "text"), F.lit(1 << 31)) < F.col("below")
+    return have.join(F.broadcast(part), "lang").where(taken).dropDuplicates(["id", "lang", "text"])
+
+
 def train(docs: DataFrame, id_col: str, text_col: str, lang_col: str, max_docs: int = TRAIN_DOCS) -> Model:
     """Fits the n-gram distributions. If there are more labelled rows than ``max_docs``, about that many are
-    taken, those of least hash of the id; the driver gets one number for each language and bin."""
+    taken: all of each rare language, and of each other one as many, those of least hash of id and text, without
+    repeats of both. The driver gets one number for each language and bin."""
     have = docs.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()).select(F.col(id_col).alias("id"), F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("text"))
-    n = have.count()
-    if n > max_docs:
-        have = have.where(F.pmod(F.xxhash64("id"), F.lit(1 << 31)) < F.lit(int(max_docs / n * (1 << 31))))
+    have = _sample(have, max_docs)
     table = have.select("lang", "text").mapInArrow(_counts, "lang string, bin long, n long").groupBy("lang", "bin").agg(F.sum("n").alias("n")).toArrow()
     langs = sorted(set(table.column("lang").to_pylist()))
     count = np.zeros((BINS, len(langs)))

@@ -2,7 +2,7 @@ import random
 
 from pyspark.sql import functions as F
 
-from marlstone.llm.language import Model, identify, op8_language_mixture, train
+from marlstone.llm.language import Model, _sample, identify, op8_language_mixture, train
 
 SCHEMA = "doc_id long, text string, lang string"
 
@@ -52,3 +52,15 @@ def test_held_out_accuracy(spark):
     got = op8_language_mixture(spark, "/root/testdata/sf0.001").join(spark.read.parquet("/root/testdata/sf0.001/documents.parquet"), "doc_id")
     row = got.where("held_out and lang_pred <> 'und'").agg(F.avg((F.col("lang_pred") == F.col("lang")).cast("double"))).first()
     assert row[0] > 0.97
+
+
+def test_sample_keeps_rare_languages_and_its_bound(spark):
+    r = random.Random(3)
+    rows = [(None, speak(r, "ab"[i % 2], 5), "ab"[i % 2]) for i in range(3000)] + [(None, speak(r, "c", 60), "c")] + [(None, "tha ing", "a")] * 500
+    docs = spark.createDataFrame(rows, SCHEMA)
+    numbered = spark.createDataFrame([(i, *x[1:]) for i, x in enumerate(rows)], SCHEMA)
+    model = train(numbered, "doc_id", "text", "lang", max_docs=300)
+    assert model.langs == ["a", "b", "c"]
+    got = identify(spark.createDataFrame([(1, speak(r, "c", 40))], "doc_id long, text string"), model).first()
+    assert got.lang_pred == "c"
+    assert 200 < _sample(docs.withColumnRenamed("doc_id", "id"), 300).count() < 400
