@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .blocks import NOT_ALNUM, U, chunks, mix, word_hashes
-from .store import materialize, read, row_is
+from .store import in_arrow, materialize, read, row_is
 
 SEGMENT = 13  # tokens of the stretch that has to agree, or the whole item if it is shorter
 PERCENT = 80  # of the stretch's tokens that agree at least
@@ -165,7 +165,7 @@ def contamination(docs: DataFrame, bench: DataFrame, id_col: str = "doc_id", tex
     base = docs.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(F.col(text_col).cast("string")).alias("same"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
     passes = []
     for index in _indexes(bench, item_col, item_text_col, index_tokens):
-        passes.append(base.mapInArrow(_search(spark.sparkContext.broadcast(index)), SCHEMA))
+        passes.append(in_arrow(base, _search(spark.sparkContext.broadcast(index)), SCHEMA))
         if len(passes) > 1:
             passes[-2] = materialize(passes[-2])
     if len(passes) == 1:

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .store import partitions, read
+from .store import in_arrow, partitions, read
 
 TREES = 192
 BITS = 24
@@ -134,7 +134,7 @@ def neighbours(rows: DataFrame, queries: DataFrame, dim: int, k: int = 20, id_co
     ask = q.groupBy(F.pmod(F.xxhash64("id"), F.lit(n_blocks)).alias("b")).agg(F.collect_list(F.struct("id", "v")).alias("g"))
     ask = ask.select(F.expr(f"explode(sequence(0L, {cells - 1}L)) as cell"), F.lit(1).alias("kind"), F.col("g.id").alias("ids"), F.flatten("g.v").alias("values"))
     met = own.unionByName(ask).repartition(n_parts, "cell").sortWithinPartitions("cell", "kind")
-    found = met.mapInArrow(_search(dim, k, trees, bits, least), "query_id long, vec_id long, score double")
+    found = in_arrow(met, _search(dim, k, trees, bits, least), "query_id long, vec_id long, score double")
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id"))
     return found.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from .blocks import U, chunks, cuts, mix, pack, pack_sorted, part_of, runs, shingle_sets, unpack, unpack_sorted
 from .components import components
-from .store import materialize, partitions, row_is
+from .store import in_arrow, materialize, partitions, row_is
 
 BLOCK = 1_000_000  # entries that a task packs together
 SEEDS = 8  # leaders that a group is compared with in a round before the lists are searched
@@ -170,10 +170,10 @@ def _labelled(docs: DataFrame, id_col: str, text_col: str, k: int, percent: int,
     parts = 4 * n_parts
     same = [F.xxhash64(F.col(text_col).cast("string")).alias("same")] if with_same else []
     base = docs.select(F.col(id_col).cast("long").alias("id"), *same, F.col(text_col).cast("string").alias("text"))
-    keyed = base.mapInArrow(_keyed(k), f"id long, {'same long, ' if with_same else ''}n long, key long")
-    packed = base.select("text").mapInArrow(_packed(k, parts), ENTRY_SQL)
-    shared = packed.repartition(n_parts, "part").sortWithinPartitions("part").mapInArrow(_shared, ENTRY_SQL)
-    sets = shared.repartition(n_parts, "block").sortWithinPartitions("block", "part").mapInArrow(_sets(percent), "key long, n long, q long, ids array<long>, b0 long, b1 long, b2 long, b3 long")
+    keyed = in_arrow(base, _keyed(k), f"id long, {'same long, ' if with_same else ''}n long, key long")
+    packed = in_arrow(base.select("text"), _packed(k, parts), ENTRY_SQL)
+    shared = in_arrow(packed.repartition(n_parts, "part").sortWithinPartitions("part"), _shared, ENTRY_SQL)
+    sets = in_arrow(shared.repartition(n_parts, "block").sortWithinPartitions("block", "part"), _sets(percent), "key long, n long, q long, ids array<long>, b0 long, b1 long, b2 long, b3 long")
     sets = materialize(sets.dropDuplicates(["key"]))  # equal sets of several blocks
 
     # Sets of one size and one prefix make a group; its number is a hash of both.

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .blocks import CHUNK, LOWER, NOT_ALNUM, chunks, cuts, words
-from .store import materialize, read, row_is
+from .store import in_arrow, materialize, read, row_is
 
 BINS = 1 << 17
 TRAIN_DOCS = 20_000  # labelled documents that the model is fitted on, about; chosen by a hash of their id
@@ -150,7 +150,7 @@ def train(docs: DataFrame, id_col: str, text_col: str, lang_col: str, max_docs:
     repeats of both. The driver gets one number for each language and bin."""
     have = docs.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()).select(F.col(id_col).alias("id"), F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("text"))
     have = _sample(have, max_docs)
-    table = have.select("lang", "text").mapInArrow(_counts, "lang string, bin long, n long").groupBy("lang", "bin").agg(F.sum("n").alias("n")).toArrow()
+    table = in_arrow(have.select("lang", "text"), _counts, "lang string, bin long, n long").groupBy("lang", "bin").agg(F.sum("n").alias("n")).toArrow()
     langs = sorted(set(table.column("lang").to_pylist()))
     count = np.zeros((BINS, len(langs)))
     where = {lang: k for k, lang in enumerate(langs)}
@@ -191,7 +191,7 @@ def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: st
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     same = [F.xxhash64(F.col(text_col).cast("string")).alias("same")] if with_same else []
     base = docs.select(F.col(id_col).cast("long").alias("id"), *same, text.rlike(r"\p{L}").alias("letter"), text.alias("text"))
-    return base.mapInArrow(_predict(docs.sparkSession.sparkContext.broadcast(model), rounds, penalty), f"id long, {'same long, ' if with_same else ''}lang_pred string, score double, langs array<string>, shares array<double>")
+    return in_arrow(base, _predict(docs.sparkSession.sparkContext.broadcast(model), rounds, penalty), f"id long, {'same long, ' if with_same else ''}lang_pred string, score double, langs array<string>, shares array<double>")
 
 
 def drop_unknown(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

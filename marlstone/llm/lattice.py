@@ -13,7 +13,6 @@ character that is no piece is the sequence of its bytes.
 
 from __future__ import annotations
 
-import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -22,12 +21,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .blocks import MULT, U, chunks, mix, powers
-from .pieces import BLANK, DEFAULT_MODEL, Pieces, Units, load
-from .store import read
+from .pieces import BLANK, DEFAULT_MODEL, Pieces, Units, gathered, load
+from .store import in_arrow, read
 
 SAMPLES = 2
-CHUNK = 2_000_000  # bytes of text that share a lattice
-DRAWN = 500_000  # bytes of text whose paths are drawn at a time
+CHUNK = 500_000  # bytes of text that share a lattice
+DRAWN = 250_000  # bytes of text whose paths are drawn at a time
 INVERSE = pow(MULT, -1, 2**64)
 
 
@@ -42,7 +41,7 @@ class Lexicon:
         logs = np.zeros(len(p.names))
         logs[by_rank] = np.log(weight / total)
         self.byte_log = float(np.log(weight[-1] / total))
-        keys = np.array([self.hash_one(p.names[i]) for i in own], dtype=np.uint64)
+        keys = self.hashes([p.names[i] for i in own])
         order = np.argsort(keys)
         self.keys, self.ids = keys[order], np.array(own, dtype=np.int32)[order]
         self.logs = logs[self.ids]
@@ -52,7 +51,7 @@ class Lexicon:
         self.slot[(self.keys >> U(42)).astype(np.int64)] = np.arange(len(self.keys), dtype=np.int32)
         heads = {p.names[i][:w] for i in own for w in range(1, len(p.names[i]) + 1)}
         self.begins = np.zeros(1 << 22, dtype=bool)
-        self.begins[[self.hash_one(x) >> 42 for x in heads]] = True
+        self.begins[(self.hashes(list(heads)) >> U(42)).astype(np.int64)] = True
 
     def find(self, h: np.ndarray) -> np.ndarray:
         """The place of each hash among the keys, -1 where it is no piece."""
@@ -64,10 +63,13 @@ class Lexicon:
         return at
 
     @staticmethod
-    def hash_one(s: str) -> int:
-        cp = np.array([ord(c) for c in s], dtype=np.uint64)
-        with np.errstate(over="ignore"):
-            return int(mix(np.array([(mix(cp + U(77)) * powers(len(cp), MULT)).sum(dtype=np.uint64)], dtype=np.uint64))[0])
+    def hashes(strings: list[str]) -> np.ndarray:
+        """The hash of each string, none of them empty, as a lattice computes it for its runs of characters."""
+        size = np.fromiter(map(len, strings), np.int64, len(strings))
+        cp = np.frombuffer("".join(strings).encode("utf-32-le", "surrogatepass"), dtype=np.uint32).astype(np.uint64)
+        at = np.cumsum(size) - size
+        place = np.arange(len(cp)) - np.repeat(at, size)
+        return mix(np.add.reduceat(mix(cp + U(77)) * powers(int(size.max(initial=1)), MULT)[place], at))
 
 
 _lexicons: dict[str, Lexicon] = {}
@@ -121,7 +123,7 @@ class Lattice:
         s, w, l = src[order], width[order], logs[order]
         beta = np.zeros(n + 1)
         level = np.flatnonzero(np.append(True, left[s][1:] != left[s][:-1])) if len(s) else np.empty(0, np.int64)
-        for a, b in zip(level, np.append(level[1:], len(s)), strict=True):
+        for a, b in zip(level, np.append(level, len(s))[1:], strict=True):
             to = s[a:b] + w[a:b]
             v = l[a:b] + np.where(w[a:b] == left[s[a:b]], 0.0, beta[np.minimum(to, n)])
             first = np.flatnonzero(np.append(True, s[a + 1 : b] != s[a : b - 1]))
@@ -310,75 +312,108 @@ def piece_ids(p: Pieces, lat: Lattice, path: Path, n: int) -> tuple[np.ndarray,
     return piece, np.bincount(d, minlength=n)
 
 
-SAMPLE = pa.struct([("ids", pa.list_(pa.int32())), ("logp", pa.float64()), ("value", pa.float64()), ("log_inclusion", pa.float64())])
+def _width(p: Pieces) -> str:
+    """The least unsigned number type that holds every id."""
+    return "<u2" if len(p.names) <= 1 << 16 else "<u4"
+
+
+def _cells(flat: np.ndarray, count: np.ndarray, width: str | None) -> pa.Array:
+    """One cell for each run of ``count`` ids: a list, or with ``width`` their bytes."""
+    at = np.concatenate([[0], np.cumsum(count)]).astype(np.int64)
+    if width is None:
+        return pa.ListArray.from_arrays(pa.array(at.astype(np.int32)), pa.array(flat.astype(np.int32, copy=False)))
+    raw = np.ascontiguousarray(flat, dtype=width)
+    return pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(count), [None, pa.py_buffer(at * raw.itemsize), pa.py_buffer(raw)]).cast(pa.binary())
 
 
-def _coded(path: str, k: int, with_ids: bool, sample_ids: bool, as_bytes: bool = False):
+def _coded(path: str, k: int, as_bytes: bool = False):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         p = load(path)
         lex = lexicon(path)
+        width = _width(p) if as_bytes else None
         for batch in batches:
             for i, j, data, offs in chunks(batch.column(2), CHUNK):
-                n = j - i
-                u = Units(data, offs)
-                ids, per = p.encode(data, offs, u)
-                back, at = p.decode(ids, per)
-                exact = np.diff(at) == np.diff(offs)
-                if len(back) == len(data):
-                    same = np.concatenate([[0], np.cumsum(back == data, dtype=np.int32 if len(data) < 1 << 31 else np.int64)])
-                    exact &= same[offs[1:]] - same[offs[:-1]] == np.diff(offs)
-                else:
-                    exact = np.array([back[at[t] : at[t + 1]].tobytes() == data[offs[t] : offs[t + 1]].tobytes() for t in range(n)])
-                lat = Lattice(lex, [BLANK + t.replace(" ", BLANK) for t in u.texts])
-                keys = mix(batch.column(1).slice(i, n).to_numpy(zero_copy_only=False).view(np.uint64))
-                logp, value, threshold = np.zeros((k, n)), np.full((k, n), -np.inf), np.full(n, -np.inf)
-                flat, count = [[] for _ in range(k)], [[] for _ in range(k)]
-                a = 0
-                while a < n:  # the lattice serves all texts of the chunk; paths are drawn for some at a time
-                    z = max(a + 1, int(np.searchsorted(offs, offs[a] + DRAWN, side="right")) - 1)
-                    s, e = np.searchsorted(u.doc, [a, z])
-                    paths, logp[:, a:z], value[:, a:z], threshold[a:z] = samples(lat, u.of[s:e], u.doc[s:e] - a, keys[a:z], k)
-                    for r, x in enumerate(paths):
-                        got, per_text = piece_ids(p, lat, x, z - a)
-                        flat[r].append(got.astype(np.int32)), count[r].append(per_text)
-                    a = z
-                drawn = [(np.concatenate(f), np.concatenate(c)) for f, c in zip(flat, count, strict=True)]
-                cut = lambda a, c: np.split(a.astype("<i4"), np.cumsum(c)[:-1])
-                own, drawn = cut(ids, per), [cut(a, c) for a, c in drawn]
-                score = logp - threshold
-                with np.errstate(over="ignore", divide="ignore"):
-                    inclusion = np.where(score < -30, score, np.log(-np.expm1(-np.exp(np.minimum(score, 700)))))
-                digest = lambda a: np.array([len(a), zlib.crc32(a.tobytes()) - 2**31], np.int32)
-                show, drew = (lambda a: a) if with_ids else digest, (lambda a: a) if sample_ids else digest
-                rows = [[{"ids": drew(drawn[r][t]), "logp": logp[r, t], "value": value[r, t], "log_inclusion": 0.0 if np.isneginf(threshold[t]) else inclusion[r, t]} for r in range(k) if not np.isneginf(value[r, t])] if per[t] else [] for t in range(n)]
-                yield pa.record_batch([batch.column(0).slice(i, n), pa.array([a.tobytes() for a in own], pa.binary()) if as_bytes else pa.array([show(a) for a in own], pa.list_(pa.int32())), pa.array(exact), pa.array(rows, pa.list_(SAMPLE))], names=["id", "ids", "exact", "samples"])
+                yield _chunk(p, lex, batch.column(0).slice(i, j - i), batch.column(1).slice(i, j - i), data, offs, k, width)
 
     return run
 
 
-OUT = "id long, ids array<int>, exact boolean, samples array<struct<ids: array<int>, logp: double, value: double, log_inclusion: double>>"
-
-
-def coded(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", model: str = DEFAULT_MODEL, k: int = SAMPLES, seed: int = 1, with_ids: bool = True, sample_ids: bool = True, as_bytes: bool = False) -> DataFrame:
+def _chunk(p: Pieces, lex: Lexicon, names: pa.Array, salts: pa.Array, data: np.ndarray, offs: np.ndarray, k: int, width: str | None) -> pa.RecordBatch:
+    n = len(names)
+    u = Units(data, offs)
+    ids, per = p.encode(data, offs, u)
+    exact = _exact(p, ids, per, data, offs)
+    own = _cells(ids, per, width)
+    del ids
+    lat = Lattice(lex, [BLANK + t.replace(" ", BLANK) for t in u.texts])
+    keys = mix(salts.to_numpy(zero_copy_only=False).view(np.uint64))
+    logp, value, threshold = np.zeros((k, n)), np.full((k, n), -np.inf), np.full(n, -np.inf)
+    flat, count = [], np.zeros((k, n), np.int64)
+    start = np.zeros((k, n), np.int64)
+    a = total = 0
+    while a < n:  # the lattice serves all texts of the chunk; paths are drawn for some at a time
+        z = max(a + 1, int(np.searchsorted(offs, offs[a] + DRAWN, side="right")) - 1)
+        s, e = np.searchsorted(u.doc, [a, z])
+        paths, logp[:, a:z], value[:, a:z], threshold[a:z] = samples(lat, u.of[s:e], u.doc[s:e] - a, keys[a:z], k)
+        for r, x in enumerate(paths):
+            got, count[r, a:z] = piece_ids(p, lat, x, z - a)
+            start[r, a:z] = total + np.cumsum(count[r, a:z]) - count[r, a:z]
+            flat.append(got.astype(width or np.int32))
+            total += len(got)
+        del paths
+        a = z
+    score = logp - threshold
+    with np.errstate(over="ignore", divide="ignore", invalid="ignore"):
+        inclusion = np.where(score < -30, score, np.log(-np.expm1(-np.exp(np.minimum(score, 700)))))
+    inclusion[:, np.isneginf(threshold)] = 0.0
+    there = (~np.isneginf(value) & (per > 0)).T  # by text, then in order of value
+    size = count.T[there]
+    drawn = np.concatenate(flat)[gathered(start.T[there], size)] if len(size) else np.empty(0, np.int32)
+    rows = pa.StructArray.from_arrays([_cells(drawn, size, width), *(pa.array(x.T[there]) for x in (logp, value, inclusion))], names=["ids", "logp", "value", "log_inclusion"])
+    lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(there.sum(axis=1))]).astype(np.int32)), rows)
+    return pa.record_batch([names, own, pa.array(exact), lists], names=["id", "ids", "exact", "samples"])
+
+
+def _exact(p: Pieces, ids: np.ndarray, per: np.ndarray, data: np.ndarray, offs: np.ndarray) -> np.ndarray:
+    """Whether each text's ids decode to its very bytes."""
+    back, at = p.decode(ids, per)
+    if len(back) != len(data):
+        return np.array([back[at[t] : at[t + 1]].tobytes() == data[offs[t] : offs[t + 1]].tobytes() for t in range(len(per))])
+    same = np.concatenate([[0], np.cumsum(back == data, dtype=np.int32 if len(data) < 1 << 31 else np.int64)])
+    return (np.diff(at) == np.diff(offs)) & (same[offs[1:]] - same[offs[:-1]] == np.diff(offs))
+
+
+OUT = "id long, ids {0}, exact boolean, samples array<struct<ids: {0}, logp: double, value: double, log_inclusion: double>>"
+
+
+def coded(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", model: str = DEFAULT_MODEL, k: int = SAMPLES, seed: int = 1, as_bytes: bool = False) -> DataFrame:
     """(id, ids, exact, samples) for each row of ``docs``: the model's own encoding, whether its decoding gives
     the text back byte by byte, and up to ``k`` different sampled segmentations, largest perturbed value first,
     each with ids, log probability, value and log of its inclusion probability.
 
     ``model`` is the path of a SentencePiece file, the same on all executors. The noise depends on ``seed`` and
-    the row's id alone, so a retry draws the same, and another partitioning too, up to the rounding of sums. With ``with_ids`` (``sample_ids``)
-    false, ids (those of samples) are digests: their number, and their CRC-32 less 2**31. A null or empty text has no ids
-    and no samples; a text with one segmentation has one sample. Texts that hold U+2581 are sampled as if it
-    were a blank, and their decoding is not exact. Repeated rows give equal rows; a null id counts as 0 for
-    the noise. Other columns are not looked at. With
-    ``as_bytes`` a row's ids are little-endian 32-bit numbers in a binary cell, which takes a writer less memory.
+    the row's id alone, so a retry draws the same, and another partitioning too, up to the rounding of sums. A
+    null or empty text has no ids and no samples; a text with one segmentation has one sample. Texts that hold
+    U+2581 are sampled as if it were a blank, and their decoding is not exact. Repeated rows give equal rows; a
+    null id counts as 0 for the noise. Other columns are not looked at. With ``as_bytes`` ids are binary cells of
+    little-endian numbers, 16 bits each, or 32 where the vocabulary has more than 65,536 pieces.
     """
     key = F.xxhash64(F.coalesce(F.col(id_col).cast("long"), F.lit(0)), F.lit(seed))
     base = docs.select(F.col(id_col).cast("long").alias("id"), key.alias("key"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
-    return base.mapInArrow(_coded(model, k, with_ids, sample_ids, as_bytes), OUT.replace("ids array<int>", "ids binary", 1) if as_bytes else OUT)
+    return in_arrow(base, _coded(model, k, as_bytes), OUT.format("binary" if as_bytes else "array<int>"))
+
+
+def id_bytes(model: str = DEFAULT_MODEL) -> int:
+    """Bytes of an id in a binary cell."""
+    return np.dtype(_width(load(model))).itemsize
 
 
 def op3_sentencepiece(spark, sf_dir: str) -> DataFrame:
-    found = coded(read(spark, sf_dir, "documents"), with_ids=False, sample_ids=False)
-    crc = lambda x: (F.get(x, F.lit(1)).cast("long") + F.lit(2**31)).alias("ids_crc32")
-    sampled = F.transform("samples", lambda s: F.struct(F.get(s["ids"], F.lit(0)).alias("n_ids"), crc(s["ids"]), s["logp"].alias("logp"), s["log_inclusion"].alias("log_inclusion")))
-    return found.select(F.col("id").alias("doc_id"), F.get("ids", F.lit(0)).alias("n_ids"), crc(F.col("ids")), "exact", sampled.alias("samples"))
+    """Each document's ids and those of its sampled segmentations, as binary cells, with digests beside them."""
+    found = coded(read(spark, sf_dir, "documents"), as_bytes=True)
+    wide = id_bytes()
+    sampled = F.transform(
+        "samples",
+        lambda s: F.struct(s["ids"].alias("ids"), (F.octet_length(s["ids"]) / wide).cast("int").alias("n_ids"), s["logp"].alias("logp"), s["value"].alias("value"), s["log_inclusion"].alias("log_inclusion")),
+    )
+    return found.select(F.col("id").alias("doc_id"), "ids", (F.octet_length("ids") / wide).cast("int").alias("n_ids"), F.crc32("ids").alias("ids_crc32"), "exact", sampled.alias("samples"))

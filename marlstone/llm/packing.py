@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from .blocks import chunks
 from .pieces import CHUNK, DEFAULT_MODEL, load
-from .store import read
+from .store import in_arrow, read
 
 LENGTH = 2048
 BLOCK = 2_000_000  # tokens that are packed together
@@ -130,7 +130,7 @@ def packed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", mode
     stay null. Other columns are not looked at.
     """
     base = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
-    return base.mapInArrow(_packed(model, length, block, end_id, pad_id), SCHEMA)
+    return in_arrow(base, _packed(model, length, block, end_id, pad_id), SCHEMA)
 
 
 def write_packs(docs: DataFrame, path: str, **options) -> None:

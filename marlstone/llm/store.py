@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -9,14 +11,25 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+#: Rows go to Python in batches by number alone unless this is set; long texts would make batches of any size.
+BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
+BATCH = 4 << 20
+
+
+_own: list[str] = []
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's ``spark.checkpoint.dir``. Where it is unset, as in tests, a folder of this machine."""
+    """The cluster's ``spark.checkpoint.dir``; where it is unset, the warehouse, which all executors share too. In a
+    session of one process (master local, as in tests) it is a folder of this machine, deleted at the end."""
     found = spark.conf.get("spark.checkpoint.dir", None)
+    if not found and not spark.sparkContext.master.split("[")[0] == "local":
+        found = spark.conf.get("spark.sql.warehouse.dir")
     if not found:
-        found = "file://" + tempfile.mkdtemp(prefix="marlstone-")
-        spark.conf.set("spark.checkpoint.dir", found)
+        if not _own:
+            _own.append(tempfile.mkdtemp(prefix="marlstone-"))
+            atexit.register(shutil.rmtree, _own[0], ignore_errors=True)
+        found = f"file://{_own[0]}"
     return found.rstrip("/")
 
 
@@ -34,6 +47,14 @@ def materialize(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def in_arrow(df: DataFrame, function, schema: str) -> DataFrame:
+    """``df.mapInArrow`` over batches of about BATCH bytes (one row at least), unless the session sets another size."""
+    spark = df.sparkSession
+    if not spark.conf.get(BATCH_BYTES, None):
+        spark.conf.set(BATCH_BYTES, str(BATCH))
+    return df.mapInArrow(function, schema)
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

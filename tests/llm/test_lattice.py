@@ -102,3 +102,27 @@ def test_encoding_equals_the_library_and_decodes_exactly(spark):
     again = {x.id: x for x in coded(spark.createDataFrame(rows[::-1], SCHEMA).repartition(1)).collect()}
     assert all([x.ids for x in again[i].samples] == [x.ids for x in got[i].samples] for i in got)
     assert coded(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def test_query_gives_whole_ids_that_decode_to_the_text(spark):
+    from marlstone.llm.lattice import id_bytes, op3_sentencepiece
+
+    folder = "/root/testdata/sf0.001"
+    texts = {r.doc_id: r.text for r in spark.read.parquet(f"{folder}/documents.parquet").collect()}
+    sp, kind = load(DEFAULT_MODEL).sp, f"<u{id_bytes()}"
+    got = op3_sentencepiece(spark, folder).collect()
+    assert len(got) == len(texts)
+    for r in got:
+        text = texts[r.doc_id] or ""
+        ids = np.frombuffer(r.ids, kind).tolist()
+        assert len(ids) == r.n_ids and ids == sp.encode(text) and sp.decode(ids) == text and r.exact
+        for s in r.samples:
+            own = np.frombuffer(s.ids, kind).tolist()
+            assert len(own) == s.n_ids and sp.decode(own) == text
+
+
+def test_null_ids_and_columns_of_other_use(spark):
+    rows = [(None, "one two", "x", 1), (None, "one two", "x", 1), (7, None, None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, ids string, key int")
+    got = sorted((r.id or 0, r.ids, len(r.samples)) for r in coded(docs).collect())
+    assert got[0] == got[1] and got[2] == (7, [], 0)
