@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from marlstone.llm.decontaminate import drop_contaminated
 from marlstone.llm.jaccard import keep_first
 from marlstone.llm.language import drop_unknown, train
-from marlstone.llm.lattice import coded
+from marlstone.llm.lattice import coded, id_bytes
 from marlstone.llm.pii import redact
 from marlstone.llm.store import materialize, read
 
@@ -39,9 +39,9 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The ids of each document as 32-bit numbers, whether they decode to its text, and digests of its sampled segmentations."""
-    found = coded(docs, sample_ids=False, as_bytes=True)
-    return found.select(F.col("id").alias("doc_id"), (F.octet_length("ids") / 4).cast("int").alias("n_ids"), "ids", "exact", "samples")
+    """The ids of each document, whether they decode to its text, and its sampled segmentations; ids are binary cells."""
+    found = coded(docs, as_bytes=True)
+    return found.select(F.col("id").alias("doc_id"), (F.octet_length("ids") / id_bytes()).cast("int").alias("n_ids"), "ids", "exact", "samples")
 
 
 STAGES = [
