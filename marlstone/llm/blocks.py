@@ -7,6 +7,7 @@ depends on nothing but the bytes, so every executor and every retry gets the sam
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -206,3 +207,19 @@ def runs(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[tuple[object,
             held.append({name: c[i].as_py() for name, c in cols.items()})
     if held:
         yield now, held
+
+
+def lean(items: Iterator) -> Iterator:
+    """The items; between two of them the C library gives free memory back to the system, if it is one that can, and
+    from then on takes large arrays from the system one by one, so that they leave no holes."""
+    try:
+        libc = ctypes.CDLL(None)
+        libc.mallopt(-3, 4 << 20)  # M_MMAP_THRESHOLD
+        trim = libc.malloc_trim
+    except (OSError, AttributeError):
+        trim = None
+    for item in items:
+        yield item
+        del item
+        if trim is not None:
+            trim(0)
