@@ -52,7 +52,7 @@ WITH RECURSIVE bytes AS (SELECT list(v ORDER BY i) AS t FROM (SELECT i, list_red
 sized AS (SELECT doc_id, coalesce(strlen(text), 0) + 1 AS size, CASE WHEN text IS NOT NULL THEN
     xor(list_reduce(list_prepend(4294967295, list_transform(regexp_extract_all(hex(encode(text)), '..'), lambda b: CAST('0x' || b AS BIGINT))), lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295) END AS text_crc32
   FROM documents, bytes),
-n AS (SELECT *, row_number() OVER (ORDER BY ((coalesce(doc_id, 0) % {shards.BUCKETS}) + {shards.BUCKETS}) % {shards.BUCKETS}, doc_id NULLS FIRST, size, text_crc32 NULLS FIRST) - 1 AS x, count(*) OVER () AS rows FROM sized),
+n AS (SELECT *, row_number() OVER (ORDER BY (((coalesce(doc_id, 0) % {shards.PRIME}) + {shards.PRIME}) % {shards.PRIME} * {shards.SPREAD} % {shards.PRIME}) % {shards.BUCKETS}, doc_id NULLS FIRST, size, text_crc32 NULLS FIRST) - 1 AS x, count(*) OVER () AS rows FROM sized),
 p AS (SELECT *, CAST(ceil(sqrt(rows)) AS BIGINT) AS side, false AS done FROM n
   UNION ALL SELECT doc_id, size, text_crc32, {_pass()}, rows, side, {_pass()} < rows FROM p WHERE NOT done)
 SELECT doc_id, CAST(size AS BIGINT) AS size, CAST(text_crc32 AS BIGINT) AS text_crc32, 'rows' AS law, CAST(x % {shards.SHARDS} AS INTEGER) AS shard, x // {shards.SHARDS} AS slot, CAST(NULL AS INTEGER) AS grown_shard FROM p WHERE done

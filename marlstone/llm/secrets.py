@@ -33,6 +33,7 @@ CLASSES = {
     "entropy_hex": ("0123456789abcdefABCDEF", r"(?<![0-9A-Za-z+/_=-])[0-9A-Fa-f]{20,}+(?![0-9A-Za-z+/_=-])", "3.0D"),
     "entropy_base64": ("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-", r"(?<![0-9A-Za-z+/_=-])[0-9A-Za-z+/_=-]{20,}+", "case when x.s rlike '[A-Z]' and x.s rlike '[a-z]' then 3.6D else 3.4D end"),
 }
+LONG = r"[0-9A-Za-z+/_=-]{20}"
 #: Well-known examples, alphabets, and identifiers.
 KNOWN = r"(?i)(example|sample|dummy|placeholder|changeme|x{6}|abcdefgh|01234567|12345678|deadbeef|lorem)|^[0-9a-f]{8}-([0-9a-f]{4}-){3}[0-9a-f]{12}$"
 #: A number, or a word in lower, upper or camel case with some digits around it.
@@ -43,20 +44,30 @@ ALLOWED = f"{WORDS}|{KNOWN}"
 MIXED = r"(?=.*[0-9])(?=.*[A-Za-z])"
 
 
-def peak(s: str, alphabet: str, window: int = WINDOW) -> str:
-    """The highest Shannon entropy, in bits, of the windows of the string."""
+PIECE = 512  # windows that are folded at a time
+
+
+def above(s: str, alphabet: str, bits: str, window: int = WINDOW) -> str:
+    """Whether some window of the string has a Shannon entropy of ``bits`` or more. Pieces of PIECE windows are looked
+    at in order until one has such a window."""
+    places = f"transform(slice(split({s}, ''), 1, length({s})), c -> instr('{alphabet}', c))"
+    pieces = f"transform(sequence(0, cast((size(v) - {window}) div {PIECE} as int)), k -> slice(v, k * {PIECE} + 1, {PIECE + window - 1}))"
+    return f"length({s}) >= {window} and " + N.let(places, "v", f"exists({pieces}, w -> {peak('w', len(alphabet), window)} >= {bits})")
+
+
+def peak(v: str, size: int, window: int = WINDOW) -> str:
+    """The highest Shannon entropy, in bits, of the windows of an array of numbers from 1 to ``size``."""
     f = "array(" + ", ".join(f"{c * math.log2(c) if c else 0.0!r}D" for c in range(window + 2)) + ")"
-    place = lambda i: f"instr('{alphabet}', substring({s}, {i}, 1))"
-    # counts and sum of c * log2(c) over the characters of the window that ends at i
-    new, old = place("i"), f"case when i > {window} then {place(f'i - {window}')} else 0 end"
-    count = lambda k: f"coalesce(try_element_at(a.n, {k}), 0)"
+    # Counts, and sum of c * log2(c) over the characters of the window that ends at i; only two counts change.
+    new, old = f"{v}[i - 1]", f"case when i > {window} then {v}[i - {window} - 1] else 0 end"
+    count = lambda k: f"coalesce(get(a.n, {k} - 1), 0)"
     add, less = f"{f}[{count('io.new')} + 1] - {f}[{count('io.new')}]", f"case when io.old = 0 then 0D else {f}[{count('io.old')} - 1] - {f}[{count('io.old')}] end"
     total = f"case when io.new = io.old then a.t else a.t + {add} + {less} end"
+    counts = "case when io.new = io.old then a.n else transform(a.n, (c, j) -> c + case when j + 1 = io.new then 1 when j + 1 = io.old then -1 else 0 end) end"
     step = f"""transform(array(named_struct('new', {new}, 'old', {old})), io -> named_struct(
-        'n', transform(a.n, (c, j) -> c + case when j + 1 = io.new then 1 else 0 end - case when j + 1 = io.old then 1 else 0 end),
-        't', {total}, 'least', case when i >= {window} then least(a.least, {total}) else a.least end))[0]"""
-    start = f"named_struct('n', array_repeat(0, {len(alphabet)}), 't', 0D, 'least', {window * math.log2(window)!r}D)"
-    return f"aggregate(sequence(1, length({s})), {start}, (a, i) -> {step}, a -> {math.log2(window)!r}D - a.least / {window})"
+        'n', {counts}, 't', {total}, 'least', case when i >= {window} then least(a.least, {total}) else a.least end))[0]"""
+    start = f"named_struct('n', array_repeat(0, {size}), 't', 0D, 'least', {window * math.log2(window)!r}D)"
+    return f"aggregate(sequence(1, size({v})), {start}, (a, i) -> {step}, a -> {math.log2(window)!r}D - a.least / {window})"
 
 
 def spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep_text: bool = False) -> DataFrame:
@@ -65,22 +76,23 @@ def spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep_
     candidates of high entropy that share no character with them; the allow-list suppresses only the latter.
 
     A null or empty text has no spans. Whole texts are searched. Rows, also repeated ones, give one row each;
-    other columns are not looked at.
+    other columns are not looked at. Base spans are blanked before candidates are sought, so what is left of a
+    string beside one is judged by itself.
     """
     df = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
     for k in BASE:
         df = df.withColumn(f"m_{k}", F.expr(N.matches("text", PATTERNS[k], GUARD[k])))
-    df = df.withColumn("candidate", F.expr(r"text rlike '[0-9A-Za-z+/_=-]{20}'"))
-    for k, (_, p, _) in CLASSES.items():
-        df = df.withColumn(f"c_{k}", F.expr(N.matches("text", p, "candidate")))
     df = df.withColumns({f"b_{k}": F.expr(N.spans("text", f"m_{k}", PATTERNS[k], k, VALID[k])) for k in BASE})
-    df = df.withColumns({f"s_{k}": F.expr(N.spans("text", f"c_{k}", p, k, f"$m rlike {N.quoted(MIXED)} and not $m rlike {N.quoted(ALLOWED)}")) for k, (_, p, _) in CLASSES.items()})
     df = df.withColumn("base", F.expr(f"case when size(m_assign) + size(m_access) + size(m_hex) = 0 then {N.NO_SPANS} else {N.ordered('concat(b_assign, b_access, b_hex)', KINDS, False)} end"))
-    hot = {k: f"filter({N.apart(f's_{k}', 'base')}, x -> {peak('x.s', chars)} >= {bits})" for k, (chars, _, bits) in CLASSES.items()}
-    df = df.withColumns({f"h_{k}": F.expr(f"case when size(s_{k}) = 0 then s_{k} else {e} end") for k, e in hot.items()})
-    df = df.withColumn("more", F.expr(f"concat(h_entropy_hex, {N.apart('h_entropy_base64', 'h_entropy_hex')})"))
+    blank = N.replaced("text", N.joined("base"), "repeat(' ', x.end - x.start)")
+    df = df.withColumn("rest", F.expr(f"case when not text rlike {N.quoted(LONG)} then '' when size(base) = 0 then text else {blank} end"))
+    for k, (_, p, _) in CLASSES.items():
+        df = df.withColumn(f"c_{k}", F.expr(N.matches("rest", p)))
+    judged = lambda k: f"$m rlike {N.quoted(MIXED)} and not $m rlike {N.quoted(ALLOWED)} and {above('$m', CLASSES[k][0], CLASSES[k][2].replace('x.s', '$m'))}"
+    df = df.withColumns({f"h_{k}": F.expr(N.spans("rest", f"c_{k}", p, k, judged(k))) for k, (_, p, _) in CLASSES.items()})
+    df = df.withColumn("more", F.expr(f"case when size(h_entropy_hex) + size(h_entropy_base64) = 0 then h_entropy_hex else {N.outermost('concat(h_entropy_hex, h_entropy_base64)', KINDS)} end"))
     df = df.withColumn("spans", F.expr(f"case when size(more) = 0 then base else {N.ordered('concat(base, more)', KINDS, False)} end"))
-    return df.select("id", "base", "spans", *(["text"] if keep_text else []))
+    return df.select("id", F.expr(N.short("base")).alias("base"), F.expr(N.short("spans")).alias("spans"), *(["text"] if keep_text else []))
 
 
 def op9_secret_scan(spark, sf_dir: str) -> DataFrame:

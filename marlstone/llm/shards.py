@@ -9,13 +9,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .store import read
+from .store import materialize, read
 
 SHARDS = 8
 SEED = 20_240_229
 ROUNDS = 4
 BUCKETS = 4096  # runs of row numbers; their sizes are all that is gathered in one place
 PRIME = 2**31 - 1
+SPREAD = 1_103_515_245  # times an id, modulo PRIME, gives its bucket
 WALK = 40
 
 
@@ -50,19 +51,35 @@ def permuted(x: str, n: str, seed: int = SEED) -> str:
     return f"transform(array({walk}), w -> case when w < {n} then w else raise_error('the walk did not end') end)[0]"
 
 
-def numbered(df: DataFrame, order: list[str]) -> DataFrame:
-    """Adds ``row_number`` from 0 and ``row_count``. The order is by a bucket of the first column, then by all
-    of ``order``; rows that agree in it all are interchangeable. No task gets more than a bucket."""
-    bucket = F.pmod(F.coalesce(F.col(order[0]), F.lit(0)), F.lit(BUCKETS))
-    df = df.withColumn("bucket", bucket)
+def bucket_of(number: str) -> str:
+    """One of BUCKETS numbers for any 64-bit number or null, spread so that strided ids do not meet in few of them."""
+    return f"(pmod(coalesce({number}, 0), {PRIME}L) * {SPREAD}L % {PRIME}L) % {BUCKETS}"
+
+
+def numbered(df: DataFrame) -> DataFrame:
+    """df(id, size, text_crc32) with ``row_number`` from 0 and ``row_count``. The order is by a bucket of the id, then
+    by all three columns; rows that agree in them are interchangeable. A task gets the rows of some buckets, a
+    BUCKETS-th of all each, unless one id has more."""
+    df = df.withColumn("bucket", F.expr(bucket_of("id")))
     sizes = df.groupBy("bucket").agg(F.count("*").alias("c"))
     whole = Window.partitionBy(F.lit(0))  # over BUCKETS rows at most
     before = sizes.select("bucket", F.sum("c").over(whole.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)).alias("before"), F.sum("c").over(whole.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)).alias("row_count"))
-    own = df.withColumn("own", F.row_number().over(Window.partitionBy("bucket").orderBy(*[F.col(c).asc_nulls_first() for c in order])) - 1)
+    order = [F.col(c).asc_nulls_first() for c in ("id", "size", "text_crc32")]
+    own = df.withColumn("own", F.row_number().over(Window.partitionBy("bucket").orderBy(*order)) - 1)
     out = own.join(F.broadcast(before), "bucket")
     return out.withColumn("row_number", F.col("own") + F.coalesce("before", F.lit(0))).drop("bucket", "own", "before")
 
 
+def _facts(docs: DataFrame, id_col: str, text_col: str) -> list:
+    text = docs[f"`{text_col}`"].cast("string")
+    return [docs[f"`{id_col}`"].cast("long").alias("id"), (F.coalesce(F.octet_length(text), F.lit(0)).cast("long") + 1).alias("size"), F.crc32(text.cast("binary")).alias("text_crc32")]
+
+
+def _placed(df: DataFrame, shards: int, seed: int) -> DataFrame:
+    df = numbered(df).withColumn("place", F.expr(permuted("row_number", "row_count", seed)))
+    return df.withColumn("shard", (F.col("place") % shards).cast("int")).withColumn("slot", F.floor(F.col("place") / shards).cast("long"))
+
+
 def sharded(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shards: int = SHARDS, seed: int = SEED) -> DataFrame:
     """(id, size, text_crc32, law, shard, slot, grown_shard) for each row of ``docs``.
 
@@ -70,22 +87,21 @@ def sharded(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sha
     The place of a row is the Feistel permutation of its row number; its shard is the place modulo ``shards``,
     its slot the quotient. Rows are numbered by id, size and checksum of the text; repeated rows get places of
     their own. size is the UTF-8 bytes of the text plus 1, a null text has size 1 and a null checksum; a null
-    id sorts first. grown_shard is null under this law. Other columns are not looked at. The text itself is
-    never shuffled. Equal texts need not meet in a shard: a group of copies may be larger than one.
+    id sorts first. grown_shard is null under this law. Other columns are not looked at. The texts are read once
+    and never shuffled. Equal texts need not meet in a shard: a group of copies may be larger than one.
     """
-    text = F.col(text_col).cast("string")
-    df = docs.select(F.col(id_col).cast("long").alias("id"), (F.coalesce(F.octet_length(text), F.lit(0)).cast("long") + 1).alias("size"), F.crc32(text.cast("binary")).alias("text_crc32"))
-    df = numbered(df, ["id", "size", "text_crc32"])
-    df = df.withColumn("place", F.expr(permuted("row_number", "row_count", seed)))
-    return df.select("id", "size", "text_crc32", F.lit("rows").alias("law"), (F.col("place") % shards).cast("int").alias("shard"), F.floor(F.col("place") / shards).cast("long").alias("slot"), F.lit(None).cast("int").alias("grown_shard"))
+    df = _placed(materialize(docs.select(*_facts(docs, id_col, text_col))), shards, seed)
+    return df.select("id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
 def write_shards(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", shards: int = SHARDS, seed: int = SEED) -> None:
-    """Writes ``docs`` with its shard and slot as Parquet, a folder for each shard, in order of slots."""
-    whole = docs.withColumn("_size", F.coalesce(F.octet_length(F.col(text_col)), F.lit(0)).cast("long") + 1).withColumn("_crc", F.crc32(F.col(text_col).cast("binary"))).withColumn("_id", F.col(id_col).cast("long"))
-    placed = numbered(whole, ["_id", "_size", "_crc"]).withColumn("_place", F.expr(permuted("row_number", "row_count", seed)))
-    placed = placed.withColumn("shard", (F.col("_place") % shards).cast("int")).withColumn("slot", F.floor(F.col("_place") / shards).cast("long"))
-    placed.drop("_size", "_crc", "_id", "_place", "row_number", "row_count").repartitionByRange("shard", "slot").sortWithinPartitions("shard", "slot").write.partitionBy("shard").parquet(path)
+    """Writes ``docs`` as Parquet, a folder shard=N for each shard, in order of the column slot. Columns of ``docs``
+    that are named shard or slot are written as own_shard and own_slot; all others keep their names."""
+    names = [{"shard": "own_shard", "slot": "own_slot"}.get(c, c) for c in docs.columns]
+    row = F.struct(*[docs[f"`{c}`"].alias(f"c{i}") for i, c in enumerate(docs.columns)]).alias("row")
+    placed = _placed(docs.select(*_facts(docs, id_col, text_col), row), shards, seed)
+    placed = placed.select("shard", "slot", *[F.col(f"row.c{i}").alias(c) for i, c in enumerate(names)])
+    placed.repartitionByRange("shard", "slot").sortWithinPartitions("shard", "slot").write.partitionBy("shard").parquet(path)
 
 
 def op7_feistel_shards(spark, sf_dir: str) -> DataFrame:

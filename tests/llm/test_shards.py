@@ -2,7 +2,7 @@ import math
 import zlib
 from collections import Counter, defaultdict
 
-from marlstone.llm.shards import BUCKETS, PRIME, SEED, keys, permuted, sharded, write_shards
+from marlstone.llm.shards import BUCKETS, PRIME, SEED, SPREAD, keys, permuted, sharded, write_shards
 
 SCHEMA = "doc_id long, text string"
 
@@ -38,14 +38,15 @@ def test_shards_hold_the_law_of_rows(spark):
     assert Counter((r.id, r.size, r.text_crc32) for r in got) == want
     again = sharded(spark.createDataFrame(rows[::-1], SCHEMA)).collect()
     assert Counter(map(tuple, got)) == Counter(map(tuple, again))
-    order = sorted(((i or 0) % BUCKETS, i is not None, i or 0, len((t or "").encode()) + 1, -1 if t is None else zlib.crc32(t.encode())) for i, t in rows)
+    order = sorted(((i or 0) % PRIME * SPREAD % PRIME % BUCKETS, i is not None, i or 0, len((t or "").encode()) + 1, -1 if t is None else zlib.crc32(t.encode())) for i, t in rows)
     first = place(0, len(rows))
     assert any(r.shard == first % 8 and r.slot == first // 8 and (r.id or 0) == order[0][2] for r in got)
 
 
-def test_write_and_empty(spark, tmp_path):
-    docs = spark.createDataFrame([(i, "x" * i, i) for i in range(40)], "doc_id long, text string, bucket int")
+def test_write_keeps_columns_of_any_name(spark, tmp_path):
+    docs = spark.createDataFrame([(i, "x" * i, i, 2 * i, f"s{i}", i, i) for i in range(40)], "doc_id long, text string, bucket int, own int, shard string, row_number int, id int")
     write_shards(docs, str(tmp_path / "out"))
     back = spark.read.parquet(str(tmp_path / "out"))
     assert back.count() == 40 and {r.shard for r in back.select("shard").distinct().collect()} == set(range(8))
+    assert all((r.bucket, r.own, r.own_shard, r.row_number, r.id, r.text) == (r.doc_id, 2 * r.doc_id, f"s{r.doc_id}", r.doc_id, r.doc_id, "x" * r.doc_id) for r in back.collect())
     assert sharded(docs.limit(0)).count() == 0
