@@ -209,17 +209,38 @@ def runs(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[tuple[object,
         yield now, held
 
 
-def lean(items: Iterator) -> Iterator:
-    """The items; between two of them the C library gives free memory back to the system, if it is one that can, and
-    from then on takes large arrays from the system one by one, so that they leave no holes."""
+def _libc():
     try:
-        libc = ctypes.CDLL(None)
-        libc.mallopt(-3, 4 << 20)  # M_MMAP_THRESHOLD
-        trim = libc.malloc_trim
-    except (OSError, AttributeError):
-        trim = None
+        return ctypes.CDLL(None)
+    except OSError:
+        return None
+
+
+def large_apart() -> None:
+    """From now on the C library, if it is one that can, takes large arrays from the system one by one, so that they
+    leave no holes."""
+    libc = _libc()
+    if hasattr(libc, "mallopt"):
+        libc.mallopt(-3, 8 << 20)  # M_MMAP_THRESHOLD
+        libc.mallopt(-1, 64 << 20)  # M_TRIM_THRESHOLD: what is free at the heap's end stays until trim()
+
+
+def trim() -> None:
+    """Free memory goes back to the system."""
+    pa.default_memory_pool().release_unused()
+    libc = _libc()
+    if hasattr(libc, "malloc_trim"):
+        libc.malloc_trim(0)
+
+
+def give_back() -> None:
+    _powers.clear()
+    trim()
+
+
+def lean(items: Iterator) -> Iterator:
+    """The items, with free memory given back between two of them."""
     for item in items:
         yield item
         del item
-        if trim is not None:
-            trim(0)
+        trim()

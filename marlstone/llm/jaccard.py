@@ -20,11 +20,11 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .blocks import U, chunks, cuts, mix, pack, pack_sorted, part_of, runs, shingle_sets, unpack, unpack_sorted
+from .blocks import U, chunks, cuts, lean, mix, pack, pack_sorted, part_of, runs, shingle_sets, unpack, unpack_sorted
 from .components import components
 from .store import in_arrow, materialize, partitions, row_is
 
-BLOCK = 1_000_000  # entries that a task packs together
+BLOCK = 500_000  # entries that a task packs together
 SEEDS = 8  # leaders that a group is compared with in a round before the lists are searched
 ROUNDS = 2  # of that; the search misses nothing either way
 
@@ -95,7 +95,7 @@ def _packed(k: int, parts: int):
 def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Of one range of hashes: to each block its entries of shingles in two sets or more, as numbers that
     ascend with frequency. Keys and sizes pass."""
-    for part, rows in runs(batches, "part"):
+    for part, rows in lean(runs(batches, "part")):
         out = [(-1, r["block"], None, None, r["keys"], r["sizes"]) for r in rows if r["keys"] is not None]
         rows = [r for r in rows if r["keys"] is None]
         if rows:
@@ -128,7 +128,7 @@ def _sets(percent: int):
     """Of one block: the sets that may link, their shared shingles in global order."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, rows in runs(batches, "block"):
+        for _, rows in lean(runs(batches, "block")):
             key, size = unpack(rows[0]["keys"], "i8"), unpack(rows[0]["sizes"], "u4").astype(np.int64)
             if len(rows) == 1:
                 continue

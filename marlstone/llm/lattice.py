@@ -94,13 +94,13 @@ class Lattice:
         c = np.zeros(n + 1, dtype=np.uint64)
         np.cumsum(mix(cp.astype(np.uint64) + U(77)) * powers(n, MULT), out=c[1:])
         left = (np.repeat(np.cumsum(size), size) - np.arange(n)).astype(np.int32)  # characters from here to the string's end
-        src, width, piece, logs = [], [], [], []
+        found, degree = [], np.zeros(n + 1, dtype=np.int32)
         single = np.zeros(n, dtype=bool)
         live = np.arange(n, dtype=np.int32)
         for w in range(1, lex.longest + 1):
             live = live[left[live] >= w]
             h = mix((c[live + w] - c[live]) * powers(n, INVERSE)[live])
-            first = lex.begins[(h >> U(42)).astype(np.int64)]
+            first = lex.begins[(h >> U(42)).astype(np.int32)]
             live, h = live[first], h[first]  # others begin no piece of this length or more
             if not len(live):
                 break
@@ -109,14 +109,21 @@ class Lattice:
             i, at = live[ok], at[ok]
             if w == 1:
                 single[i] = True
-            src.append(i), width.append(np.full(len(i), w, np.int32)), piece.append(lex.ids[at]), logs.append(lex.logs[at])
+            found.append((i, w, lex.ids[at], lex.logs[at]))
+            degree[i] += 1
         lone = np.flatnonzero(~single).astype(np.int32)
         octets = 1 + (cp[lone] > 0x7F) + (cp[lone] > 0x7FF) + (cp[lone] > 0xFFFF)
-        src.append(lone), width.append(np.ones(len(lone), np.int32)), piece.append(-1 - cp[lone].astype(np.int32)), logs.append(octets * lex.byte_log)
+        found.insert(0, (lone, 1, -1 - cp[lone].astype(np.int32), octets * lex.byte_log))
+        degree[lone] += 1
         # Long pieces first: they are the likely ones, and a draw looks at a node's edges in order.
-        src, width, piece, logs = (np.concatenate(x[::-1]) for x in (src, width, piece, logs))
-        order = np.argsort(src, kind="stable")
-        src, width, piece, logs = src[order], width[order], piece[order], logs[order]
+        self.first_edge = np.concatenate([[0], np.cumsum(degree, dtype=np.int32)])[: n + 1]
+        m = int(degree.sum())
+        src, width, piece, logs = np.empty(m, np.int32), np.empty(m, np.int32), np.empty(m, np.int32), np.empty(m)
+        free = self.first_edge.copy()
+        for i, w, ids, own in found[::-1]:
+            to = free[i]
+            free[i] += 1
+            src[to], width[to], piece[to], logs[to] = i, w, ids, own
         # Backward sums, by distance from the end; a string's last node has 0.
         far = left[src]
         order = np.argsort(far.astype(np.uint16) if n == 0 or left.max() < 1 << 16 else far, kind="stable")
@@ -127,12 +134,12 @@ class Lattice:
             to = s[a:b] + w[a:b]
             v = l[a:b] + np.where(w[a:b] == left[s[a:b]], 0.0, beta[np.minimum(to, n)])
             first = np.flatnonzero(np.append(True, s[a + 1 : b] != s[a : b - 1]))
-            beta[s[a:b][first]] = np.logaddexp.reduceat(v, first)
+            top = np.maximum.reduceat(v, first)
+            beta[s[a:b][first]] = top + np.log(np.add.reduceat(np.exp(v - np.repeat(top, np.diff(np.append(first, b - a)))), first))
         self.src, self.width, self.piece = src, width, piece
         self.last = self.width == left[self.src]  # the edge ends the string
         self.logp = logs + np.where(self.last, 0.0, beta[np.minimum(self.src + self.width, n)]) - beta[self.src]
         self.p = np.exp(self.logp)
-        self.first_edge = np.searchsorted(self.src, np.arange(n + 1))
         self.start = np.cumsum(size) - size
 
 
@@ -209,7 +216,7 @@ def samples(lat: Lattice, of: np.ndarray, doc: np.ndarray, keys: np.ndarray, k:
         path.logp = c[path.at[1:]] - c[path.at[:-1]]
         i = np.arange(len(d)) - path.at[:-1][d]
         rest = 1 - lat.p[path.edge]
-        choice = (lat.first_edge[lat.src[path.edge] + 1] - lat.first_edge[lat.src[path.edge]] > 1) & (rest > 1e-15) & (i >= from_[d])
+        choice = (rest > 1e-15) & (i >= from_[d])  # nothing is left where a node has one piece
         path.value = np.full(len(d), -np.inf)
         j = np.flatnonzero(choice)
         phi = path.before[j] + np.log(rest[j])
@@ -334,6 +341,7 @@ def _coded(path: str, k: int, as_bytes: bool = False):
         for batch in batches:
             for i, j, data, offs in chunks(batch.column(2), CHUNK):
                 yield _chunk(p, lex, batch.column(0).slice(i, j - i), batch.column(1).slice(i, j - i), data, offs, k, width)
+        _lexicons.clear()  # a worker that stands idle keeps no model
 
     return run
 

@@ -16,7 +16,7 @@ import sentencepiece
 from .blocks import mix, span_hashes
 
 BLANK = "▁"
-CHUNK = 2_000_000  # bytes of text at a time
+CHUNK = 1_000_000  # bytes of text at a time
 DEFAULT_MODEL = os.path.join("/opt/tokenizers", "piece_bpe_32k.model")
 
 
@@ -52,7 +52,12 @@ class Units:
     def __init__(self, data: np.ndarray, offs: np.ndarray):
         self.start, self.end, self.doc = units(data, offs)
         h = mix(span_hashes(data, self.start, self.end, None))
-        _, first, self.of = np.unique(h, return_index=True, return_inverse=True)
+        order = np.argsort(h)
+        h = h[order]
+        new = np.ones(len(h), dtype=bool)
+        new[1:] = h[1:] != h[:-1]
+        first, self.of = order[new], np.empty(len(h), dtype=np.int32)
+        self.of[order] = np.cumsum(new, dtype=np.int32) - 1
         self.raw = data.tobytes()
         self.empty = np.flatnonzero(self.end[first] == self.start[first])
         self.texts = [self.raw[a:b].decode() for a, b in zip(self.start[first].tolist(), self.end[first].tolist(), strict=True)]

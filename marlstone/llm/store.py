@@ -48,11 +48,20 @@ def materialize(df: DataFrame) -> DataFrame:
 
 
 def in_arrow(df: DataFrame, function, schema: str) -> DataFrame:
-    """``df.mapInArrow`` over batches of about BATCH bytes (one row at least), unless the session sets another size."""
+    """``df.mapInArrow`` over batches of about BATCH bytes (one row at least), unless the session sets another size. A
+    worker gives back what memory it can at the end of each task; it may stand idle beside another step's."""
     spark = df.sparkSession
     if not spark.conf.get(BATCH_BYTES, None):
         spark.conf.set(BATCH_BYTES, str(BATCH))
-    return df.mapInArrow(function, schema)
+
+    def run(batches):
+        from .blocks import give_back, large_apart
+
+        large_apart()
+        yield from function(batches)
+        give_back()
+
+    return df.mapInArrow(run, schema)
 
 
 def partitions(spark: SparkSession) -> int:
