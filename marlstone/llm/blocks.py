@@ -221,7 +221,7 @@ def large_apart() -> None:
     leave no holes."""
     libc = _libc()
     if hasattr(libc, "mallopt"):
-        libc.mallopt(-3, 8 << 20)  # M_MMAP_THRESHOLD
+        libc.mallopt(-3, 16 << 20)  # M_MMAP_THRESHOLD
         libc.mallopt(-1, 64 << 20)  # M_TRIM_THRESHOLD: what is free at the heap's end stays until trim()
 
 

@@ -5,6 +5,13 @@ keeps the strings in a sorted array. A query finds the place of its own string i
 matching prefix, and then all trees give up one bit of prefix at a time, together, until enough candidates
 share the prefixes left. Candidates are scored exactly.
 
+Bits tell angles. So that a small angle means a large inner product, a row of length r gets one more coordinate,
+the root of R*R - r*r for the greatest length R, and a query gets 0 there: all rows then have length R.
+
+How many candidates are enough depends on the vectors: clustered ones need few, others many. It is measured on a
+bounded sample of rows and queries, as the least share of rows at which the forest finds TARGET of the true
+neighbours.
+
 Rows are dealt to cells of bounded size by a hash of their number; every cell is a forest of its own, and blocks
 of queries visit all cells. So no array outgrows a task, and what a cell returns is k rows for each query.
 """
@@ -20,10 +27,12 @@ from pyspark.sql import functions as F
 
 from .store import in_arrow, partitions, read
 
-TREES = 192
-BITS = 24
+TREES = 160
+BITS = 32
 CELL = 16_384  # vectors of a forest, about
-LEAST = 0.4  # of a cell's vectors that are candidates before trees stop giving up bits
+SHARES = (0.005, 0.01, 0.02, 0.05, 0.1, 0.15, 0.2, 0.25, 0.3, 0.35, 0.4, 0.5, 0.6, 0.8, 1.0)  # of a cell's vectors, tried in order
+TARGET = 0.95  # of the true neighbours of the sample that the share has to find
+SAMPLE, PROBES = 4096, 64  # rows and queries of the sample, about
 QUERIES = 256  # of a block
 SEED = 7
 
@@ -44,15 +53,17 @@ def strings(x: np.ndarray, planes: np.ndarray, trees: int, bits: int) -> np.ndar
 class Forest:
     def __init__(self, ids: np.ndarray, x: np.ndarray, trees: int, bits: int):
         self.ids, self.x, self.trees, self.bits = ids, x, trees, bits
-        self.planes = directions(x.shape[1], trees, bits)
-        s = strings(x, self.planes, trees, bits)
+        self.planes = directions(x.shape[1] + 1, trees, bits)
+        size = np.sqrt((x * x).sum(axis=1))
+        top = size.max(initial=1.0)
+        s = strings(np.column_stack([x / top, np.sqrt(np.maximum(0.0, 1 - (size / top) ** 2))]), self.planes, trees, bits)
         self.order = np.argsort(s, axis=0, kind="stable")
         self.sorted = np.take_along_axis(s, self.order, axis=0)
 
     def candidates(self, q: np.ndarray, least: int) -> Iterator[np.ndarray]:
         """Of each query the rows that share a long enough prefix with it in some tree: the depth goes down for
         all trees at once until ``least`` rows are found; all rows of the prefixes at that depth are taken."""
-        s = strings(q, self.planes, self.trees, self.bits)
+        s = strings(q, self.planes[:-1], self.trees, self.bits)
         lo, hi = np.empty((self.bits + 1, *s.shape), np.int64), np.empty((self.bits + 1, *s.shape), np.int64)
         for depth in range(self.bits + 1):
             drop = np.uint64(self.bits - depth)
@@ -86,6 +97,30 @@ class Forest:
             yield int(qid[i]), self.ids[rows][order], score[order]
 
 
+def share_for(ids: np.ndarray, x: np.ndarray, qid: np.ndarray, q: np.ndarray, k: int, trees: int, bits: int, target: float = TARGET) -> float:
+    """The least of SHARES at which the forest of these rows finds ``target`` of the k true neighbours of the queries."""
+    forest = Forest(ids, x, trees, bits)
+    truth = []
+    for i in range(len(q)):
+        rows = np.flatnonzero(ids != qid[i])
+        score = (x[rows] * q[i]).sum(axis=1)
+        truth.append(set(ids[rows[np.lexsort((ids[rows], -score))[:k]]].tolist()))
+    want = sum(map(len, truth))
+    low, high = 0, len(SHARES) - 1
+    while low < high:  # recall does not fall as the share grows
+        mid = (low + high) // 2
+        found = sum(len(t & set(got.tolist())) for t, (_, got, _) in zip(truth, forest.nearest(qid, q, k, max(k + 1, int(np.ceil(SHARES[mid] * len(ids))))), strict=True))
+        low, high = (low, mid) if found >= target * want else (mid + 1, high)
+    return SHARES[low]
+
+
+def _probe(df: DataFrame, n: int, about: int) -> tuple[np.ndarray, np.ndarray]:
+    """About ``about`` of the n rows of df(id, v), chosen by a hash, never more than twice that."""
+    part = df if n <= about else df.where(F.pmod(F.xxhash64(F.lit(SEED), "id"), F.lit(1 << 31)) < int(about / n * (1 << 31)))
+    rows = part.limit(2 * about).collect()
+    return np.array([r.id for r in rows], np.int64), np.array([r.v for r in rows], np.float64)
+
+
 def _search(dim: int, k: int, trees: int, bits: int, least: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         forest, cell, ids, vectors = None, None, [], []
@@ -110,14 +145,15 @@ def _search(dim: int, k: int, trees: int, bits: int, least: float):
     return run
 
 
-def neighbours(rows: DataFrame, queries: DataFrame, dim: int, k: int = 20, id_col: str = "vec_id", vec_col: str = "embedding", trees: int = TREES, bits: int = BITS, cell: int = CELL, least: float = LEAST) -> DataFrame:
+def neighbours(rows: DataFrame, queries: DataFrame, dim: int, k: int = 20, id_col: str = "vec_id", vec_col: str = "embedding", trees: int = TREES, bits: int = BITS, cell: int = CELL, least: float | None = None) -> DataFrame:
     """(query_id, rank, vec_id, score): the ``k`` rows of largest inner product found for each query, in double
     precision, nearest first, ties to the smaller number; all, if fewer. The query's own number is left out.
 
     Vectors that are null, of another length than ``dim``, all zero, or hold a null or a value that is not
     finite take no part, as rows or as queries. Repeated rows are neighbours each; a number repeated among the
-    queries is answered once, by its least vector. Every row is in the index; the number of candidates is a
-    lower bound, never an upper one. Other columns are not looked at.
+    queries is answered once, by its least vector; a null number takes no part. Every row is in the index; the number
+    of candidates is a lower bound, never an upper one: ``least`` of a cell's rows, or the share that a sample of
+    about SAMPLE rows and PROBES queries asks for. Other columns are not looked at.
     """
     spark = rows.sparkSession
 
@@ -127,10 +163,14 @@ def neighbours(rows: DataFrame, queries: DataFrame, dim: int, k: int = 20, id_co
         return df.where("forall(v, x -> x is not null and not isnan(x) and abs(x) < double('infinity')) and exists(v, x -> x <> 0)")
 
     x, q = sound(rows), sound(queries).groupBy("id").agg(F.min("v").alias("v"))
-    cells = max(1, -(-x.count() // cell))
+    n_rows, n_queries = x.count(), q.count()
+    cells = max(1, -(-n_rows // cell))
+    if least is None:
+        (ids, v), (qid, qv) = _probe(x, n_rows, SAMPLE), _probe(q, n_queries, PROBES)
+        least = share_for(ids, v, qid, qv, k, trees, bits) if len(ids) and len(qid) else 1.0
     n_parts = partitions(spark)
     own = x.select(F.pmod(F.xxhash64("id"), F.lit(cells)).alias("cell"), F.lit(0).alias("kind"), F.array("id").alias("ids"), F.col("v").alias("values"))
-    n_blocks = max(1, -(-q.count() // QUERIES))
+    n_blocks = max(1, -(-n_queries // QUERIES))
     ask = q.groupBy(F.pmod(F.xxhash64("id"), F.lit(n_blocks)).alias("b")).agg(F.collect_list(F.struct("id", "v")).alias("g"))
     ask = ask.select(F.expr(f"explode(sequence(0L, {cells - 1}L)) as cell"), F.lit(1).alias("kind"), F.col("g.id").alias("ids"), F.flatten("g.v").alias("values"))
     met = own.unionByName(ask).repartition(n_parts, "cell").sortWithinPartitions("cell", "kind")

@@ -45,3 +45,33 @@ def test_cells_and_hot_vectors_with_all_candidates_are_exact(spark):
     for q, found in want.items():
         own = [x for x in got if x.query_id == q]
         assert [x.vec_id for x in own] == [j for j, _ in found]
+
+
+def _recall(spark, x, k=10):
+    rows = [(i, v.tolist()) for i, v in enumerate(x)]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    queries = {i for i in range(len(x)) if i % 50 == 0}
+    want = brute(rows, queries, k)
+    got = {(r.query_id, r.vec_id) for r in neighbours(table, table.where("vec_id % 50 = 0"), x.shape[1], k=k).collect()}
+    return sum((q, j) in got for q, f in want.items() for j, _ in f) / (k * len(want))
+
+
+def test_recall_with_unequal_lengths_and_clusters(spark):
+    r = np.random.default_rng(5)
+    plain = r.standard_normal((3000, 32)) * np.exp(r.standard_normal((3000, 1)))
+    assert _recall(spark, plain) >= 0.9
+    centres = 4 * r.standard_normal((60, 32))
+    assert _recall(spark, centres[r.integers(0, 60, 3000)] + 0.5 * r.standard_normal((3000, 32))) >= 0.9
+
+
+def test_clustered_vectors_need_a_small_share():
+    from marlstone.llm.forest import BITS, TREES, share_for
+
+    r = np.random.default_rng(6)
+    centres = 4 * r.standard_normal((100, 32))
+    x = centres[np.repeat(np.arange(100), 30)] + 0.3 * r.standard_normal((3000, 32))
+    x /= np.sqrt((x * x).sum(axis=1, keepdims=True))
+    ids = np.arange(3000)
+    assert share_for(ids, x, ids[::60], x[::60], 10, TREES, BITS) <= 0.05
+    y = r.standard_normal((3000, 64))
+    assert share_for(ids, y, ids[::60], y[::60], 10, TREES, BITS) >= 0.2
