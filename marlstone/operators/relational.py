@@ -93,11 +93,12 @@ def in_window(rows: DataFrame, windows: DataFrame, keys: list[str], at: str, aft
 
 def banded(rows: DataFrame, bands: DataFrame, value: str, low: str, high: str, default: Column, label: str) -> DataFrame:
     """``rows`` with the label of the band [low, high] their value is in, else the default; of several bands the
-    lowest. The bands are configuration; their number is checked before they are broadcast."""
-    b = small(bands.select(F.col(low).alias("_low"), F.col(high).alias("_high"), F.col(label).alias("_label")))
-    hits = rows.withColumn("_row", F.monotonically_increasing_id()).join(b, F.col(value).between(F.col("_low"), F.col("_high")), "left")
-    best = first_hit(hits, ["_row"], [F.col("_low").asc_nulls_last(), F.col("_label")])
-    return best.withColumn(label, F.coalesce("_label", default)).drop("_row", "_low", "_high", "_label")
+    lowest, of bands that begin alike the one first by label. The bands are configuration: they become one sorted
+    array, which every row is held against where it is, without a shuffle."""
+    own = F.struct(F.col(low).alias("low"), F.col(label).alias("label"), F.col(high).alias("high"))
+    sorted_bands = bands.where(F.col(low).isNotNull()).agg(F.array_sort(F.collect_list(own)).alias("bands")).scalar()
+    held = F.filter("_bands", lambda b: F.col(value).between(b["low"], b["high"]))
+    return rows.withColumn("_bands", sorted_bands).withColumn(label, F.coalesce(F.get(held, F.lit(0))["label"], default)).drop("_bands")
 
 
 def ordered_prefix(base: DataFrame, head: DataFrame, position: str, columns: list[str]) -> DataFrame:
@@ -132,10 +133,12 @@ def exact_partition(whole: str, left: str, right: str) -> Column:
 
 
 def ratio(numerator: Column, denominator: Column) -> Column:
-    """A quotient of 18 decimal places; null for a missing or zero denominator. Both sides are widened first:
-    narrow decimals would lose places."""
-    wide = lambda c: c.cast("decimal(20,0)")
-    return wide(numerator) / F.nullif(wide(denominator), F.lit(0).cast("decimal(20,0)"))
+    """A quotient of 18 decimal places; null for a missing or zero denominator. Both sides are taken in ten-thousandths,
+    or as whole numbers if one has more than 16 digits before the point; such wide integers keep all places."""
+    exact = [c.cast("decimal(24,4)") for c in (numerator, denominator)]
+    unit = F.when(F.greatest(*[F.abs(c) for c in exact]) < F.lit(10**16), F.lit(10_000)).otherwise(F.lit(1)).cast("decimal(5,0)")
+    n, d = [(c * unit).cast("decimal(20,0)") for c in exact]
+    return n / F.nullif(d, F.lit(0).cast("decimal(20,0)"))
 
 
 def growth(now: Column, before: Column) -> Column:

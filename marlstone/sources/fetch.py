@@ -6,6 +6,7 @@ from __future__ import annotations
 import csv
 import fcntl
 import hashlib
+import http.client
 import io
 import json
 import os
@@ -180,7 +181,7 @@ class Client:
         row = dict.fromkeys(FIELDS, "") | {"timestamp_utc": datetime.now(timezone.utc).isoformat(), "method": "GET", "source_url": url, "purpose": purpose, "accession": accession, "document_name": Path(name).name, "user_agent": self.config["user_agent"], "retry_attempt": attempt}
         try:
             status, body, head = self.send(url, self.config["user_agent"], self.config["timeout_sec"])
-        except OSError as e:
+        except (OSError, http.client.HTTPException) as e:
             self.ledger.append([row | {"status_code": 0, "error": " ".join(str(e).split()) or type(e).__name__}])
             return Result(url, 0, b"", None, str(e))
         sha = hashlib.sha256(body).hexdigest()
