@@ -9,9 +9,9 @@ from .jaccard import op5_ngram_jaccard_join
 from .katz import op10_katz_backoff
 from .language import op8_language_mixture
 from .lattice import op3_sentencepiece
-from .packing import op6_packed_ids
-from .pii import op1_pii
-from .secrets import op9_secret_scan
+from .packing import op6_packed_ids, packed_documents
+from .pii import op1_pii, pii_base_texts
+from .secrets import op9_secret_scan, secret_base_texts
 from .shards import op7_feistel_shards
 
 QUERIES = {f.__name__: f for f in (
@@ -25,7 +25,11 @@ QUERIES = {f.__name__: f for f in (
     op8_language_mixture,
     op9_secret_scan,
     op10_katz_backoff,
+    pii_base_texts,
+    secret_base_texts,
+    packed_documents,
 )}
+
 #: The Feistel network in SQL: one pass over column x with the columns side and rows.
 def _pass() -> str:
     left, right = "(x // side)", "(x % side)"
@@ -35,6 +39,26 @@ def _pass() -> str:
 
 
 ORACLE_SQL: dict = {
+    "pii_base_texts": r"""
+WITH m AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+') AS email,
+    list_filter(regexp_extract_all(coalesce(text, ''), '[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)'), lambda m: list_max(list_transform(string_split(m, '.'), lambda p: coalesce(TRY_CAST(p AS BIGINT), 999))) <= 255) AS ip,
+    list_filter(list_filter(regexp_extract_all(coalesce(text, ''), '[0-9]([\x20-]?[0-9])+'), lambda m: length(regexp_replace(m, '[^0-9]', '', 'g')) BETWEEN 16 AND 19),
+        lambda m: list_sum(list_transform(range(1, length(regexp_replace(m, '[^0-9]', '', 'g')) + 1), lambda i: CASE WHEN i % 2 = 1 THEN CAST(substr(reverse(regexp_replace(m, '[^0-9]', '', 'g')), i, 1) AS BIGINT)
+            ELSE (2 * CAST(substr(reverse(regexp_replace(m, '[^0-9]', '', 'g')), i, 1) AS BIGINT)) % 10 + CAST(substr(reverse(regexp_replace(m, '[^0-9]', '', 'g')), i, 1) AS BIGINT) // 5 END)) % 10 = 0) AS card,
+    list_filter(regexp_extract_all(coalesce(text, ''), '\+[0-9][\x20().0-9-]+[0-9]'), lambda m: length(regexp_replace(m, '[^0-9]', '', 'g')) BETWEEN 8 AND 15) AS phone FROM documents)
+SELECT doc_id, CAST(len(email) AS BIGINT) AS n_email, CAST(len(ip) AS BIGINT) AS n_ip, CAST(len(card) AS BIGINT) AS n_card, CAST(len(phone) AS BIGINT) AS n_phone,
+    array_to_string(email, ',') AS email_texts, array_to_string(ip, ',') AS ip_texts, array_to_string(card, ',') AS card_texts, array_to_string(phone, ',') AS phone_texts FROM m
+""",
+    "secret_base_texts": r"""
+WITH m AS (SELECT doc_id,
+    list_filter(regexp_extract_all(coalesce(text, ''), '(?i:password|passwd|secret|token|api_?key)["'']?\x20*[:=]\x20*["'']?[A-Za-z0-9+/_.=-]+'),
+        lambda m: length(regexp_extract(m, '^[A-Za-z_]+["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)$', 1)) >= 8) AS assign,
+    list_filter(regexp_extract_all(coalesce(text, ''), 'AKIA[A-Z0-9]+'), lambda m: length(m) >= 16) AS access,
+    list_filter(regexp_extract_all(coalesce(text, ''), '[0-9a-f]+'), lambda m: length(m) >= 32) AS hex FROM documents)
+SELECT doc_id, CAST(len(assign) AS BIGINT) AS n_assign, CAST(len(access) AS BIGINT) AS n_access, CAST(len(hex) AS BIGINT) AS n_hex,
+    array_to_string(assign, ',') AS assign_texts, array_to_string(access, ',') AS access_texts, array_to_string(hex, ',') AS hex_texts FROM m
+""",
+    "packed_documents": "SELECT doc_id, CAST(count(*) AS BIGINT) AS begins, true AS whole FROM documents GROUP BY doc_id",
     "op5_ngram_jaccard_join": r"""
 WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
 s AS (SELECT doc_id, CASE WHEN len(w) >= 5 THEN list_distinct(list_transform(range(1, len(w) - 3), lambda i: hash(array_to_string(w[i:i + 4], ' '))))

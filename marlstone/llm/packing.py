@@ -140,3 +140,12 @@ def write_packs(docs: DataFrame, path: str, **options) -> None:
 
 def op6_packed_ids(spark, sf_dir: str) -> DataFrame:
     return packed(read(spark, sf_dir, "documents"))
+
+
+def packed_documents(spark, sf_dir: str) -> DataFrame:
+    """What the packs hold, for the check by SQL: each document, its segments that begin it, and whether segments are
+    whole: their sizes and the room of a pack add up."""
+    found = packed(read(spark, sf_dir, "documents"))
+    whole = F.expr(f"n_tokens = element_at(cu_seqlens, -1) and n_tokens <= {LENGTH} and size(cu_seqlens) = size(doc_ids) + 1 and resets = slice(cu_seqlens, 1, size(doc_ids))")
+    parts = found.select(whole.alias("whole"), F.explode(F.arrays_zip("doc_ids", "doc_offsets")).alias("x"))
+    return parts.groupBy(F.col("x.doc_ids").alias("doc_id")).agg(F.sum((F.col("x.doc_offsets") == 0).cast("long")).alias("begins"), F.min("whole").alias("whole"))

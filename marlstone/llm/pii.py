@@ -287,3 +287,11 @@ def op1_pii(spark, sf_dir: str) -> DataFrame:
     found = spans(read(spark, sf_dir, "documents"))
     counts = [F.expr(f"cast(size(filter(base, x -> x.kind = '{k}')) as bigint)").alias(f"n_{k}") for k in BASE]
     return found.select(F.col("id").alias("doc_id"), *counts, F.sha2(F.expr(N.written("base")), 256).alias("base_sha256"), F.expr(N.written("spans")).alias("spans"))
+
+
+def pii_base_texts(spark, sf_dir: str) -> DataFrame:
+    """The strict matches of each document by kind: how many, and their texts in order, for the check by SQL."""
+    found = spans(read(spark, sf_dir, "documents"))
+    own = {k: f"filter(base, x -> x.kind = '{k}')" for k in BASE}
+    counts = [F.expr(f"cast(size({e}) as bigint)").alias(f"n_{k}") for k, e in own.items()]
+    return found.select(F.col("id").alias("doc_id"), *counts, *[F.expr(f"array_join(transform({e}, x -> x.s), ',')").alias(f"{k}_texts") for k, e in own.items()])
