@@ -319,9 +319,7 @@ def piece_ids(p: Pieces, lat: Lattice, path: Path, n: int) -> tuple[np.ndarray,
     return piece, np.bincount(d, minlength=n)
 
 
-def _width(p: Pieces) -> str:
-    """The least unsigned number type that holds every id."""
-    return "<u2" if len(p.names) <= 1 << 16 else "<u4"
+ID = "<u4"  # an id in a binary cell
 
 
 def _cells(flat: np.ndarray, count: np.ndarray, width: str | None) -> pa.Array:
@@ -337,7 +335,7 @@ def _coded(path: str, k: int, as_bytes: bool = False):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         p = load(path)
         lex = lexicon(path)
-        width = _width(p) if as_bytes else None
+        width = ID if as_bytes else None
         for batch in batches:
             for i, j, data, offs in chunks(batch.column(2), CHUNK):
                 yield _chunk(p, lex, batch.column(0).slice(i, j - i), batch.column(1).slice(i, j - i), data, offs, k, width)
@@ -404,16 +402,16 @@ def coded(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", model
     null or empty text has no ids and no samples; a text with one segmentation has one sample. Texts that hold
     U+2581 are sampled as if it were a blank, and their decoding is not exact. Repeated rows give equal rows; a
     null id counts as 0 for the noise. Other columns are not looked at. With ``as_bytes`` ids are binary cells of
-    little-endian numbers, 16 bits each, or 32 where the vocabulary has more than 65,536 pieces.
+    little-endian 32-bit numbers.
     """
     key = F.xxhash64(F.coalesce(F.col(id_col).cast("long"), F.lit(0)), F.lit(seed))
     base = docs.select(F.col(id_col).cast("long").alias("id"), key.alias("key"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
     return in_arrow(base, _coded(model, k, as_bytes), OUT.format("binary" if as_bytes else "array<int>"))
 
 
-def id_bytes(model: str = DEFAULT_MODEL) -> int:
+def id_bytes() -> int:
     """Bytes of an id in a binary cell."""
-    return np.dtype(_width(load(model))).itemsize
+    return np.dtype(ID).itemsize
 
 
 def op3_sentencepiece(spark, sf_dir: str) -> DataFrame:
