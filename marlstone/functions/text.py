@@ -108,3 +108,9 @@ def quote_around(text: Column, pattern: str, before: int = 80, length: int = 240
     hit = F.regexp_extract(text, f"((?i:{pattern}))", 1)
     at = F.instr(text, hit)
     return F.when(hit != "", F.substring(text, F.greatest(F.lit(1), at - before), F.lit(length)))
+
+
+def companyfacts_label(unit: Column, frame: Column) -> Column:
+    """The context of a company fact: ``companyfacts:unit:frame``; a fact without a frame ends in the colon."""
+    blank = lambda c: F.coalesce(c, F.lit(""))
+    return F.concat_ws(":", F.lit("companyfacts"), blank(unit), blank(frame))

@@ -34,6 +34,12 @@ def period_start(prior: Column, end: Column) -> Column:
     return F.coalesce(F.date_add(prior, 1), F.trunc(end, "year").cast("date"))
 
 
+def c04_period_start(prior: Column, prior_cik: Column, cik: Column, end: Column) -> Column:
+    """period_start() of the auditor's metric: a prior year under another CIK does not count."""
+    same = prior_cik.cast("long").eqNullSafe(cik.cast("long")) & cik.isNotNull()
+    return period_start(F.when(same, prior), end)
+
+
 def event_metrics(events: DataFrame, companies: DataFrame, mapping: dict[str, tuple[str, ...]] = C.EVENT_ITEMS) -> DataFrame:
     """(company, metric_id, value, status, unit, source_class, confidence, context, accessions): how many events of
     a metric's items each company has, over all its CIK roles; 0 with the evidence of the scan where none."""

@@ -173,7 +173,21 @@ def auditors(facts: DataFrame) -> DataFrame:
     x = facts.where((F.col("concept") == "AuditorName") & is_dei(F.col("namespace")) & ~X.blank_name(F.col("text"))).withColumn("canonical", X.canonical_name(F.col("text")))
     x = x.groupBy("company", "cik", "accession").agg(F.count_distinct("canonical").alias("n"), F.min("text").alias("auditor"), F.min("canonical").alias("canonical"))
     ok = F.col("n") == 1
-    return x.select("company", "cik", "accession", F.when(ok, F.col("auditor")).alias("auditor"), F.when(ok, F.col("canonical")).alias("canonical"), F.when(~ok, "conflicting_names").alias("finding"))
+    return x.select("company", "cik", "accession", F.when(ok, F.col("auditor")).alias("auditor"), F.when(ok, F.col("canonical")).alias("canonical"), F.when(~ok, "conflicting_values").alias("finding"))
+
+
+def auditor_candidates(inventory: DataFrame) -> DataFrame:
+    """(company, cik, candidates, prior_candidates) for auditor_change(), of an inventory (company, cik, source_role,
+    accession, form, reportDate, filingDate). The target is the latest annual report under its CIK. Candidates of a
+    year are its annual reports, amendments first, then by filing date; the prior year is the latest one before the
+    target's under the same CIK. One company's annual reports are few."""
+    annual_reports = inventory.where(F.col("form").isin("10-K", "10-K/A") & F.col("reportDate").isNotNull() & F.col("accession").isNotNull())
+    rows = annual_reports.select("company", "cik", "reportDate", "accession", F.col("form").eqNullSafe("10-K").alias("original"), F.date_diff(F.lit("9999-12-31").cast("date"), F.col("filingDate")).alias("age")).distinct()
+    years = rows.groupBy("company", "cik", "reportDate").agg(F.array_sort(F.collect_set(F.struct("original", "age", "accession"))).alias("c"))
+    years = years.select("company", "cik", "reportDate", F.transform("c", lambda x: x["accession"]).alias("c"))
+    last = years.groupBy("company", "cik").agg(F.reverse(F.array_sort(F.collect_list(F.struct("reportDate", "c")))).alias("y"))
+    none = F.array().cast("array<string>")
+    return last.select("company", "cik", F.col("y")[0]["c"].alias("candidates"), F.coalesce(F.get("y", F.lit(1))["c"], none).alias("prior_candidates"))
 
 
 def auditor_change(targets: DataFrame, names: DataFrame) -> DataFrame:

@@ -161,3 +161,129 @@ def audit_sample(rows: DataFrame, metrics: DataFrame, caps: dict[str, int]) -> D
     order = Window.partitionBy("source_class").orderBy(F.sha2(F.concat_ws("|", "company", "metric_id"), 256), "company", "metric_id")
     want = metrics.where("value is not null").withColumn("r", F.row_number().over(order)).where(F.col("r") <= F.coalesce(table[F.col("source_class")], F.lit(0)))
     return _findings(exact_set_diff(want, rows, ["company", "metric_id"]), F.col("finding"), "company", "metric_id")
+
+
+def auditor_cells(metrics: DataFrame, inventory: DataFrame, facts: DataFrame) -> DataFrame:
+    """C04 recomputed from raw facts and the inventory, by a way of its own: for each year of a company the names
+    of the best filing that has just one. Inventory rows that lack a field are findings, and so is a company
+    whose cell has another value or status, or no cell, or more than one."""
+    from ..sources.xbrl import is_dei
+
+    needed = ("company", "cik", "accession", "form", "reportDate")
+    lacks = F.array_compact(F.array(*[F.when(F.coalesce(F.trim(F.col(c).cast("string")), F.lit("")) == "", c) for c in needed]))
+    bad = inventory.withColumn("fields", F.array_join(lacks, ",")).where("fields <> ''")
+    annual = inventory.where(F.col("form").isin("10-K", "10-K/A")).dropna(subset=list(needed)).select(*needed, "filingDate").distinct()
+    years = annual.groupBy("company", "cik").agg(F.sort_array(F.collect_set("reportDate"), asc=False).alias("ends"))
+    years = years.select("company", "cik", F.posexplode(F.slice("ends", 1, 2)).alias("back", "reportDate"))
+    named = facts.where((F.col("concept") == "AuditorName") & is_dei(F.col("namespace"))).withColumn("name", F.upper(F.regexp_replace("text", "[^A-Za-z0-9]", "")))
+    named = named.where("name <> ''").groupBy("cik", "accession").agg(F.min("name").alias("low"), F.max("name").alias("high")).where("low = high")
+    best = years.join(annual, ["company", "cik", "reportDate"]).join(named, ["cik", "accession"])
+    best = best.groupBy("company", "cik", "back").agg(F.min_by("low", F.struct(F.col("form") == "10-K", -F.unix_date("filingDate"), "accession")).alias("name"))
+    real = years.where("back = 0").join(best.groupBy("company", "cik").pivot("back", [0, 1]).agg(F.first("name")), ["company", "cik"], "left")
+    real = real.select("company", F.when(F.col("0") == F.col("1"), 0).when(F.col("0") != F.col("1"), 1).alias("real"))
+    cells = metrics.where("metric_id = 'C04'").groupBy("company").agg(F.count("*").alias("n"), F.first(F.col("value").cast("int")).alias("value"), F.first("status").alias("status"))
+    x = real.join(cells, "company", "left")
+    wanted = F.when(F.col("real") == 0, "DIM_XBRL_OK").otherwise("NEEDS_REVIEW")
+    finding = F.when(F.col("n").isNull(), "no cell").when(F.col("n") > 1, "two cells").when(~F.col("value").eqNullSafe(F.col("real")), "value differs").when(~F.col("status").eqNullSafe(wanted), "status differs")
+    wrong = x.withColumn("finding", finding).where("finding is not null")
+    return _findings(bad, F.concat(F.lit("inventory row lacks "), F.col("fields")), *needed).unionByName(_findings(wrong, F.col("finding"), "company", "value", "real"))
+
+
+def actual_beside_threshold(chosen: DataFrame, candidates: DataFrame) -> DataFrame:
+    """Where a company has an actual capital ratio beside regulatory thresholds, the chosen one is an actual ratio
+    of the candidates."""
+    keys = ["company", "metric_id"]
+    actual = candidates.where("candidate_role = 'primary'")
+    none = _findings(actual.select(*keys).distinct().join(chosen, keys, "left_anti"), F.lit("actual ratio not chosen"), *keys)
+    other = chosen.join(actual.select(*keys, "concept", "context").distinct(), [*keys, "concept", "context"], "left_anti")
+    return none.unionByName(_findings(other, F.lit("chosen is no actual ratio"), *keys, "concept"))
+
+
+def captive_reviewed(metrics: DataFrame, facts: DataFrame) -> DataFrame:
+    """Recall: each company with debt of a captive finance member has its leverage cell blank and in review."""
+    from ..operators.facts import captive_debt
+
+    have = captive_debt(facts).select("company").distinct()
+    cells = metrics.where("metric_id = 'B06' and status = 'NEEDS_REVIEW' and value is null").select("company")
+    return _findings(have.join(cells, "company", "left_anti"), F.lit("captive debt not in review"), "company")
+
+
+def captive_exclusions(chosen: DataFrame) -> DataFrame:
+    """Precision: no chosen fact rests on ordinary credit or lease terms, or on debt securities held."""
+    members = X.normalized_concept(F.array_join(F.map_values("dimensions"), " "))
+    plain = F.exists(F.array(*[F.lit(w) for w in C.CAPTIVE_EXCEPTIONS]), lambda w: F.contains(members, w))
+    telling = F.exists(F.map_values("dimensions"), lambda m: _captive(X.normalized_concept(m)))
+    securities = F.startswith(X.normalized_concept(F.col("concept")), F.lit("debtsecurities"))
+    return _findings(chosen.where((plain & ~telling) | securities), F.lit("ordinary term chosen"), "company", "concept", "context")
+
+
+def _captive(name):
+    some = lambda words: F.exists(F.array(*[F.lit(w) for w in words]), lambda w: F.contains(name, w))
+    return some(C.CAPTIVE_WORDS) & ~some(C.CAPTIVE_EXCEPTIONS)
+
+
+def selected_identity(chosen: DataFrame, expected: DataFrame) -> DataFrame:
+    """A further company's choices are the expected ones by concept, context, dimensions and value, not by value alone."""
+    keys = ["company", "metric_id"]
+    flat = lambda df, to: df.select(*keys, *[(F.array_join(F.transform(F.array_sort(F.map_entries(c)), lambda e: F.concat_ws("=", e["key"], e["value"])), ";") if c == "dimensions" else F.col(c).cast("string")).alias(f"{to}_{c}") for c in ("concept", "context", "dimensions", "value")])
+    x = flat(expected, "e").join(flat(chosen, "c"), keys, "left")
+    differs = F.array_compact(F.array(*[F.when(~F.col(f"e_{c}").eqNullSafe(F.col(f"c_{c}")), c) for c in ("concept", "context", "dimensions", "value")]))
+    x = x.withColumn("finding", F.when(F.col("c_concept").isNull() & F.col("c_value").isNull(), "not chosen").otherwise(F.concat(F.lit("differs in "), F.array_join(differs, ","))))
+    return _findings(x.where((F.size(differs) > 0) | (F.col("finding") == "not chosen")), F.col("finding"), *keys)
+
+
+def scaled_amounts(facts: DataFrame, expected: DataFrame) -> DataFrame:
+    """Amounts that are known in full (company, concept, period_end, value) are in the instance at that scale. A
+    missing fact is a finding, never a pass."""
+    keys = ["company", "concept", "period_end"]
+    have = facts.join(expected.select(*keys).distinct(), keys, "left_semi").where("size(dimensions) = 0")
+    have = have.groupBy(*keys).agg(F.collect_set(F.col("value").cast("decimal(38,6)")).alias("have"))
+    x = expected.join(have, keys, "left")
+    finding = F.when(F.col("have").isNull(), "missing").when(~F.array_contains("have", F.col("value").cast("decimal(38,6)")), "scale or value differs")
+    return _findings(x.withColumn("finding", finding).where("finding is not null"), F.col("finding"), *keys)
+
+
+def golden_snapshot(stored: DataFrame, fixture: DataFrame, metrics: DataFrame) -> DataFrame:
+    """A kept golden result is what it would be now: its expected values are the fixture's, its actual values the
+    matrix's, and its status follows from the two."""
+    from ..operators.relational import within_tolerance
+
+    keys = ["assertion_id"]
+    ids = _findings(exact_set_diff(fixture, stored, keys), F.col("finding"), *keys)
+    f = fixture.select(*keys, "company", "metric_id", F.col("expected").alias("f_expected"), F.col("tolerance").alias("f_tolerance"))
+    x = stored.join(f, keys).join(metrics.select("company", "metric_id", F.col("value").cast("string").alias("now")), ["company", "metric_id"], "left")
+    status = F.when(within_tolerance("expected", "actual", "tolerance"), "PASS").otherwise("FAIL")
+    other = F.array_compact(F.array(
+        F.when(~(F.col("expected").eqNullSafe(F.col("f_expected")) & F.col("tolerance").eqNullSafe(F.col("f_tolerance"))), "fixture mismatch"),
+        F.when(~F.col("actual").eqNullSafe(F.col("now")), "matrix drift"),
+        F.when(~F.col("status").eqNullSafe(status), "status differs"),
+    ))
+    return ids.unionByName(_findings(x.select(*keys, F.explode(other).alias("finding")), F.col("finding"), *keys))
+
+
+#: The instructions that a map of the implementation must cover.
+INSTRUCTIONS = tuple(f"I{i}" for i in range(1, 9))
+
+
+def implementation_map(rows: DataFrame, ids: tuple[str, ...] = INSTRUCTIONS) -> DataFrame:
+    """Each instruction has at least one row that names where it is done; rows of no known instruction are findings."""
+    spark = rows.sparkSession
+    wanted = spark.sql("select * from values " + ", ".join(f"('{i}')" for i in ids) + " as t(instruction_id)")
+    done = rows.where("coalesce(trim(implemented_in), '') <> ''").select("instruction_id").distinct()
+    return _findings(exact_set_diff(wanted, done, ["instruction_id"]), F.col("finding"), "instruction_id")
+
+
+def event_rows_recomputed(metrics: DataFrame, companies: DataFrame, events: DataFrame, mapping: dict[str, tuple[str, ...]]) -> DataFrame:
+    """Whole rows of event metrics, (company, metric_id, value, status, unit, source_class, confidence, accession), are
+    those worked out here, one conditional pass over the events for all metrics."""
+    parts = [F.when(F.col("item_code").isin(*items), F.col("accession")) for items in mapping.values()]
+    aggs = [x for m, p in zip(mapping, parts, strict=True) for x in (F.count(p).alias(f"n_{m}"), F.array_join(F.sort_array(F.collect_set(p)), ";").alias(f"a_{m}"))]
+    wide = companies.select("company").distinct().join(events.groupBy("company").agg(*aggs), "company", "left")
+    long = wide.select("company", F.inline(F.array(*[F.struct(F.lit(m).alias("metric_id"), F.coalesce(f"n_{m}", F.lit(0)).alias("value"), F.coalesce(f"a_{m}", F.lit("")).alias("accession")) for m in mapping])))
+    some = F.col("value") > 0
+    pick = lambda yes, no: F.when(some, yes).otherwise(no)
+    fixed = {"status": pick("8K_ITEM_OK", "NOT_AVAILABLE_SEC"), "unit": F.lit("count"), "source_class": F.lit("8K_ITEM"), "confidence": pick("0.90", "0.80")}
+    columns = ["company", "metric_id", "value", "status", "unit", "source_class", "confidence", "accession"]
+    real = long.withColumns(fixed).select(*columns)
+    own = metrics.where(F.col("metric_id").isin(*mapping)).withColumns({"value": F.col("value").cast("long"), "confidence": F.col("confidence").cast("decimal(3,2)").cast("string"), "accession": F.coalesce("accession", F.lit(""))}).select(*columns)
+    return _findings(multiset_diff(real, own, columns), F.when(F.col("surplus") > 0, "row not as recomputed").otherwise("recomputed row missing"), "company", "metric_id", "value", "status")

@@ -5,8 +5,10 @@ import datetime
 import duckdb
 import pytest
 
-from marlstone.plans.catalog import ORACLE_SQL, QUERIES
+from marlstone.plans import catalog, filing_queries
 
+QUERIES = catalog.QUERIES | filing_queries.QUERIES
+ORACLE_SQL = catalog.ORACLE_SQL | filing_queries.ORACLE_SQL
 FOLDER = "/root/testdata/sf0.001"
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
 
@@ -26,6 +28,7 @@ def plain(v):
 
 
 def test_every_query_has_sql():
+    assert not set(catalog.QUERIES) & set(filing_queries.QUERIES)
     assert set(QUERIES) - set(ORACLE_SQL) <= {"parse_xbrl"}
 
 
