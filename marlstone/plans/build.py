@@ -19,8 +19,8 @@ MATRIX = ["company", "cik", "metric_id", "value", "unit", "status", "source_clas
 @dataclass
 class Landed:
     """Inputs. companies: (company, cik, profile, entity_continuity_status, fye, prior_fye). facts: of companyfacts.
-    instance: facts with company, cik, accession. events: (company, cik, accession, item_code). passages:
-    (company, cik, accession, text) of annual reports. auditors: targets of auditor_change()."""
+    instance: facts with company, cik, accession. events: (company, cik, accession, item_code) of fiscal_window().
+    passages: (company, cik, accession, text) of annual reports. auditors: those of auditor_candidates()."""
 
     companies: DataFrame
     facts: DataFrame
