@@ -203,12 +203,18 @@ def auditor_change(targets: DataFrame, names: DataFrame) -> DataFrame:
     return x.select("company", "cik", F.lit("C04").alias("metric_id"), F.when(missing, None).when(same, 0).otherwise(1).alias("value"), F.when(missing, "NEEDS_REVIEW").when(same, "DIM_XBRL_OK").otherwise("NEEDS_REVIEW").alias("status"), F.when(missing, 0.45).otherwise(0.80).alias("confidence"))
 
 
-def original_fallback(targets: DataFrame, facts: DataFrame, filings: DataFrame, least: int = 500) -> DataFrame:
-    """Targets whose instance is an amendment or has fewer than ``least`` facts, with the original 10-K of the
-    same CIK and report date and the reasons."""
+def original_fallback(targets: DataFrame, facts: DataFrame, filings: DataFrame, least: int = 500, groups: DataFrame | None = None) -> DataFrame:
+    """Targets whose instance is an amendment, has fewer than ``least`` facts, or has no fact of one of the ``groups``
+    (group_name, concept) that a report must have, with the original 10-K of the same CIK and report date and the
+    reasons."""
     n = facts.groupBy("accession").agg(F.count("*").alias("n_facts"))
     x = targets.join(n, "accession", "left").withColumn("n_facts", F.coalesce("n_facts", F.lit(0)))
-    reasons = F.array_compact(F.array(F.when(F.col("form") == "10-K/A", "target_is_amendment"), F.when(F.col("n_facts") < least, f"target_instance_fact_count_lt_{least}")))
+    lacking = F.lit(False)
+    if groups is not None:
+        have = facts.join(small(groups), "concept").groupBy("accession").agg(F.count_distinct("group_name").alias("n_groups"))
+        x = x.join(have, "accession", "left")
+        lacking = F.coalesce("n_groups", F.lit(0)) < groups.agg(F.count_distinct("group_name")).scalar()
+    reasons = F.array_compact(F.array(F.when(F.col("form") == "10-K/A", "target_is_amendment"), F.when(F.col("n_facts") < least, f"target_instance_fact_count_lt_{least}"), F.when(lacking, "target_instance_key_group_missing")))
     x = x.withColumn("reasons", reasons).where(F.size("reasons") > 0)
     o = filings.where("form = '10-K'").select("cik", "reportDate", F.col("accession").alias("original_accession"))
     return x.join(o, ["cik", "reportDate"]).where("original_accession <> accession").select("company", "cik", "accession", "original_accession", "reasons", F.lit("target_original_full_instance").alias("source_role"))

@@ -129,14 +129,18 @@ def latest_annual_report(spark: SparkSession, d: str) -> DataFrame:
     return A.latest_10k(T.filings(spark, d), ["company", "cik"]).select("company", "cik", "accession", "form", F.col("reportDate").alias("report_date"))
 
 
-@query(T.sql("filings", "lines") + """, n AS (SELECT accession, count(*) AS n FROM lines GROUP BY 1),
-t AS (SELECT f.*, (CASE WHEN form = '10-K/A' THEN 'target_is_amendment;' ELSE '' END) || (CASE WHEN coalesce(n, 0) < 4 THEN 'target_instance_fact_count_lt_4;' ELSE '' END) AS reasons
+@query(T.sql("filings", "lines") + """, n AS (SELECT accession, count(*) AS n, count(*) FILTER (d IN (0, 1)) > 0 AND count(*) FILTER (d = 2) > 0 AS whole FROM lines GROUP BY 1),
+t AS (SELECT f.*, (CASE WHEN form = '10-K/A' THEN 'target_is_amendment;' ELSE '' END) || (CASE WHEN coalesce(n, 0) < 4 THEN 'target_instance_fact_count_lt_4;' ELSE '' END)
+    || (CASE WHEN NOT coalesce(whole, false) THEN 'target_instance_key_group_missing;' ELSE '' END) AS reasons
   FROM filings f LEFT JOIN n USING (accession) WHERE form IN ('10-K', '10-K/A'))
 SELECT t.company, t.accession, o.accession AS original_accession, rtrim(reasons, ';') AS reasons FROM t JOIN filings o ON o.form = '10-K' AND o.filer = t.filer AND o."reportDate" = t."reportDate"
   AND o.accession <> t.accession WHERE reasons <> ''""")
 def original_instances(spark: SparkSession, d: str) -> DataFrame:
     filings = T.filings(spark, d).drop("cik").withColumnRenamed("filer", "cik")
-    hit = A.original_fallback(filings.where("form in ('10-K', '10-K/A')"), T.lines(spark, d).select("accession"), filings, 4)
+    groups = spark.sql("select * from values ('income', 'Revenues'), ('income', 'NetIncomeLoss'), ('position', 'Assets') as t(group_name, concept)")
+    told = F.when(F.col("d") == 0, "Revenues").when(F.col("d") == 1, "NetIncomeLoss").when(F.col("d") == 2, "Assets").otherwise("Other")
+    facts = T.lines(spark, d).select("accession", told.alias("concept"))
+    hit = A.original_fallback(filings.where("form in ('10-K', '10-K/A')"), facts, filings, 4, groups)
     return hit.select("company", "accession", "original_accession", F.array_join("reasons", ";").alias("reasons"))
 
 
