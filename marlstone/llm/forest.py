@@ -42,11 +42,15 @@ def directions(dim: int, trees: int, bits: int, seed: int = SEED) -> np.ndarray:
 
 
 def strings(x: np.ndarray, planes: np.ndarray, trees: int, bits: int) -> np.ndarray:
-    """The bit string of each vector in each tree, as a number; the first direction gives the highest bit."""
-    out = np.empty((len(x), trees), dtype=np.uint64)
-    weight = np.uint64(1) << np.arange(bits, dtype=np.uint64)[::-1]
+    """For each tree the bit string of each vector, as a number; the first direction gives the highest bit."""
+    out = np.empty((trees, len(x)), dtype=np.uint32 if bits <= 32 else np.uint64)
+    wide = -(-bits // 8)
     for t in range(trees):
-        out[:, t] = (x @ planes[:, t * bits : (t + 1) * bits] >= 0) @ weight
+        octets = np.packbits(x @ planes[:, t * bits : (t + 1) * bits] >= 0, axis=1)
+        number = np.zeros(len(x), np.uint64)
+        for j in range(wide):
+            number = number << np.uint64(8) | octets[:, j]
+        out[t] = number >> np.uint64(8 * wide - bits)
     return out
 
 
@@ -57,38 +61,50 @@ class Forest:
         size = np.sqrt((x * x).sum(axis=1))
         top = size.max(initial=1.0)
         s = strings(np.column_stack([x / top, np.sqrt(np.maximum(0.0, 1 - (size / top) ** 2))]), self.planes, trees, bits)
-        self.order = np.argsort(s, axis=0, kind="stable")
-        self.sorted = np.take_along_axis(s, self.order, axis=0)
+        order = np.argsort(s, axis=1)
+        self.sorted = np.take_along_axis(s, order, axis=1)
+        self.order = order.astype(np.int32)
+        self.rough = (x / top).astype(np.float32)
 
     def candidates(self, q: np.ndarray, least: int) -> Iterator[np.ndarray]:
         """Of each query the rows that share a long enough prefix with it in some tree: the depth goes down for
         all trees at once until ``least`` rows are found; all rows of the prefixes at that depth are taken."""
-        s = strings(q, self.planes[:-1], self.trees, self.bits)
-        lo, hi = np.empty((self.bits + 1, *s.shape), np.int64), np.empty((self.bits + 1, *s.shape), np.int64)
+        s = strings(q, self.planes[:-1], self.trees, self.bits).astype(np.uint64)
+        # The sum over trees bounds the union from above: depths with too small a sum need no look.
+        runs, deepest = [], np.zeros(len(q), np.int64)
         for depth in range(self.bits + 1):
             drop = np.uint64(self.bits - depth)
             first = (s >> drop) << drop
-            last = first + (np.uint64(1) << drop)
+            last = first + (np.uint64(1) << drop) - np.uint64(1)
+            first, last = first.astype(self.sorted.dtype), last.astype(self.sorted.dtype)
+            lo, hi = np.empty(s.shape, np.int64), np.empty(s.shape, np.int64)
             for t in range(self.trees):
-                lo[depth, :, t] = np.searchsorted(self.sorted[:, t], first[:, t])
-                hi[depth, :, t] = np.searchsorted(self.sorted[:, t], last[:, t])
-        total = (hi - lo).sum(axis=2)
+                lo[t] = np.searchsorted(self.sorted[t], first[t])
+                hi[t] = np.searchsorted(self.sorted[t], last[t], side="right")
+            runs.append((lo.T.tolist(), hi.T.tolist()))
+            enough = (hi - lo).sum(axis=0) >= least
+            deepest[enough] = depth
+            if not enough.any():
+                break
         for i in range(len(q)):
-            # The sum over trees bounds the union from above: depths with too small a sum need no look.
-            depth = max(0, int(np.count_nonzero(total[:, i] >= least)) - 1)
-            while True:
-                found = np.zeros(len(self.ids), bool)
-                for t in range(self.trees):
-                    found[self.order[lo[depth, i, t] : hi[depth, i, t], t]] = True
+            found = np.zeros(len(self.ids), bool)
+            for depth in range(int(deepest[i]), -1, -1):
+                found[np.concatenate([o[a:b] for o, a, b in zip(self.order, runs[depth][0][i], runs[depth][1][i], strict=True)])] = True
                 if depth == 0 or np.count_nonzero(found) >= least:
                     yield np.flatnonzero(found)
                     break
-                depth -= 1
 
     def nearest(self, qid: np.ndarray, q: np.ndarray, k: int, least: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
         """(query, ids, scores), nearest first, equal scores by smaller id; a query is no neighbour of its own number."""
+        unit = q / np.abs(q).max(axis=1, keepdims=True)
+        unit = (unit / np.sqrt((unit * unit).sum(axis=1, keepdims=True))).astype(np.float32)
+        # Scores of vectors of length 1 at most, in single precision, are off by less than half of this.
+        slack = 4 * (q.shape[1] + 8) * float(np.finfo(np.float32).eps)
         for i, rows in enumerate(self.candidates(q, least)):
             rows = rows[self.ids[rows] != qid[i]]
+            if len(rows) > k:  # the exact scores are taken of those that may be among the k
+                about = self.rough[rows] @ unit[i]
+                rows = rows[about >= np.partition(about, len(rows) - k)[len(rows) - k] - slack]
             score = (self.x[rows] * q[i]).sum(axis=1)
             if len(rows) > k:
                 cut = np.partition(score, len(score) - k)[len(score) - k]
@@ -125,20 +141,22 @@ def _search(dim: int, k: int, trees: int, bits: int, least: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         forest, cell, ids, vectors = None, None, [], []
         for batch in batches:
-            for row in batch.to_pylist():
-                if row["cell"] != cell:
-                    forest, cell, ids, vectors = None, row["cell"], [], []
-                x = np.array(row["values"], dtype=np.float64).reshape(-1, dim)
-                if row["kind"] == 0:
-                    ids += row["ids"]
+            values, numbers = batch.column("values"), batch.column("ids")
+            for at, (own, kind) in enumerate(zip(batch.column("cell").to_pylist(), batch.column("kind").to_pylist(), strict=True)):
+                if own != cell:
+                    forest, cell, ids, vectors = None, own, [], []
+                x = values[at].values.to_numpy().reshape(-1, dim)
+                number = numbers[at].values.to_numpy()
+                if kind == 0:
+                    ids.append(number)
                     vectors.append(x)
                     continue
                 if not ids:
                     continue
                 if forest is None:
-                    forest = Forest(np.array(ids, np.int64), np.concatenate(vectors), trees, bits)
+                    forest = Forest(np.concatenate(ids), np.concatenate(vectors), trees, bits)
                 want = max(k + 1, int(np.ceil(least * len(forest.ids))))
-                got = list(forest.nearest(np.array(row["ids"], np.int64), x, k, want))
+                got = list(forest.nearest(number, x, k, want))
                 n = [len(a) for _, a, _ in got]
                 yield pa.record_batch([pa.array(np.repeat([q for q, _, _ in got], n), pa.int64()), pa.array(np.concatenate([a for _, a, _ in got]), pa.int64()), pa.array(np.concatenate([s for _, _, s in got]), pa.float64())], names=["query_id", "vec_id", "score"])
 

@@ -75,3 +75,26 @@ def test_clustered_vectors_need_a_small_share():
     assert share_for(ids, x, ids[::60], x[::60], 10, TREES, BITS) <= 0.05
     y = r.standard_normal((3000, 64))
     assert share_for(ids, y, ids[::60], y[::60], 10, TREES, BITS) >= 0.2
+
+
+def test_queries_over_large_shares_are_cheap_and_exact():
+    import time
+
+    from marlstone.llm.forest import BITS, TREES, Forest
+
+    r = np.random.default_rng(9)
+    x = r.standard_normal((12_000, 64))
+    x[5000:5100] = x[40]  # ties
+    ids = r.permutation(12_000)
+    forest, q = Forest(ids, x, TREES, BITS), x[:128]
+    began = time.perf_counter()
+    plain = [(x * v).sum(axis=1) for v in np.concatenate([q, q[:64]])]
+    limit, began = time.perf_counter() - began, time.perf_counter()
+    got = list(forest.nearest(ids[:128], q, 20, 5000))
+    assert time.perf_counter() - began < limit and len(plain) == 192
+    for i, rows in list(enumerate(forest.candidates(q, 5000)))[::8]:
+        assert len(rows) >= 5000
+        rows = rows[rows != i]
+        exact = (x[rows] * q[i]).sum(axis=1)
+        order = np.lexsort((ids[rows], -exact))[:20]
+        assert got[i][1].tolist() == ids[rows][order].tolist() and got[i][2].tolist() == exact[order].tolist()
