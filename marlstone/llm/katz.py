@@ -12,6 +12,9 @@ A block evaluates its tokens recursively: the probabilities of one order are wha
 and what that order backs off to. A context of very many tokens is split by its successors into parts of bounded
 size; what its parts know of it is added up by context and joined to the blocks that have it. Only counts of
 counts (a few numbers) reach the driver.
+
+The tables also tell which words and n-grams stand in one block alone. Whatever follows such a context stands there
+too, so the block counts its successors itself and asks nothing: most of the rare contexts are of this kind.
 """
 
 from __future__ import annotations
@@ -25,10 +28,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .blocks import U, chunks, lean, mix, pack, pack_sorted, part_of, runs, unpack, unpack_sorted, word_hashes
-from .store import in_arrow, materialize, partitions, read
+from .store import delete, in_arrow, materialize, partitions, read
 
 ORDER = 3
-LEAST = 3  # training count of a context of two words or more, below which it backs off at once
+LEAST = 1  # training count of a context of two words or more, below which it backs off at once: only unseen ones do
 BLOCK = 1_000_000  # tokens of a block, if no text is longer
 PART = 1_000_000  # tokens of the input for each part of a table
 TASK = 32_000_000  # tokens of the input for each task at most
@@ -105,6 +108,16 @@ def _grouped(key: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return key[new], order[new].astype(np.int32), which
 
 
+def _told(total: np.ndarray, key: np.ndarray, last: bool = False) -> np.ndarray:
+    """For each entry the count of its key, and in the lowest bit whether no other entry has it: a block asks for
+    a word or an n-gram once, so it then stands in that block alone. Of the last order that is not told."""
+    return (total << 1 | (0 if last else np.bincount(key, minlength=len(total)) == 1))[key]
+
+
+def _heard(told: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    return (told >> U(1)).astype(np.int64), (told & U(1)).astype(bool)
+
+
 def _listed(words: np.ndarray) -> bytes:
     """Hashes of 40 bits as places in a list of the distinct ones."""
     own, _, at = _grouped(words)
@@ -165,8 +178,9 @@ class Block:
         self.at = np.cumsum(self.n) - self.n
         self.place = np.arange(len(self.stream), dtype=np.int32) - np.repeat(self.at.astype(np.int32), self.n)
 
-    def words(self, count: np.ndarray, model: Unigrams) -> None:
-        """Level one: ``count`` is the training count of each word of the vocabulary."""
+    def words(self, told: np.ndarray, model: Unigrams) -> None:
+        """Level one: ``told`` is what the tables say of each word of the vocabulary."""
+        count, self.gram_alone = _heard(told)
         self.order, self.count = 1, count
         self.p = model.p(count)[self.stream]
         self.gram, self.gram_hash, self.gram_count = self.stream, self.vocab, count
@@ -186,7 +200,7 @@ class Block:
         there = np.zeros(len(self.gram_hash), bool)
         there[context] = True
         x = np.flatnonzero(there)
-        split = np.maximum(1, -(-self.gram_count[x] // hot))
+        split = np.where(self.gram_alone[x], 1, np.maximum(1, -(-self.gram_count[x] // hot)))
         at = np.zeros(len(there), np.int64)
         at[x] = np.cumsum(split) - split
         slot_x, slot_hot = np.repeat(x, split), np.repeat(split > 1, split)
@@ -208,25 +222,37 @@ class Block:
         self.slot_n, self.slot_x = grams_of[full], slot_x[order][full]
         self.slot_hash, self.slot_hot = h[order][full], slot_hot[order][full]
         self.slot = np.repeat(np.arange(len(full), dtype=np.int32), self.slot_n)
+        self.slot_own = self.gram_alone[self.slot_x]  # contexts that stand in no other block: nobody is asked
+
+    def counts(self) -> np.ndarray:
+        """The block's own training counts of its n-grams."""
+        return np.bincount(self.which, weights=self.learn[self.tokens], minlength=len(self.y)).astype(np.int64)
+
+    def own_tally(self) -> np.ndarray:
+        """Counts of counts of the n-grams that nobody is asked for."""
+        c = self.counts()[self.slot_own[self.slot]]
+        return np.bincount(c[c <= K + 1], minlength=K + 2)
 
     def asks(self, parts: int, number: int = 0, rounds: int = 1) -> Iterator[tuple]:
         """For each part of a round the contexts, how many n-grams each has, words, of those in training what gives their lower
         order (the count of a word, or the probability), their counts, and of contexts in several parts their
         places and hashes."""
-        c = np.bincount(self.which, weights=self.learn[self.tokens], minlength=len(self.y)).astype(np.int64)
-        lower, kind = (self.count[self.y], "u8") if self.order == 2 else (self.p[self.first], "f4")
-        words = self.vocab[self.y] >> U(24)
-        at = np.append(np.cumsum(self.slot_n) - self.slot_n, len(self.y))
-        edges = np.searchsorted(part_of(self.slot_hash, parts), np.arange(parts + 1))
+        ask, of = np.flatnonzero(~self.slot_own), ~self.slot_own[self.slot]
+        c, y = self.counts()[of], self.y[of]
+        lower, kind = (self.count[y], "u8") if self.order == 2 else (self.p[self.first[of]], "f4")
+        words = self.vocab[y] >> U(24)
+        h, n, many, x = self.slot_hash[ask], self.slot_n[ask], self.slot_hot[ask], self.slot_x[ask]
+        at = np.append(np.cumsum(n) - n, len(y))
+        edges = np.searchsorted(part_of(h, parts), np.arange(parts + 1))
         for p in np.flatnonzero(np.diff(edges)):
             if p % rounds != number:
                 continue
             s, t = edges[p], edges[p + 1]
             a, b = at[s], at[t]
-            hot = np.flatnonzero(self.slot_hot[s:t])
+            hot = np.flatnonzero(many[s:t])
             yield (
-                int(p), pack_sorted(self.slot_hash[s:t] >> U(8)), pack(self.slot_n[s:t], "u4"), _listed(words[a:b]),
-                pack(lower[a:b][c[a:b] > 0], kind), pack(c[a:b], "u4"), pack(hot, "u4"), pack(self.hot_of(self.slot_x[s:t][hot]), "i8"),
+                int(p), pack_sorted(h[s:t] >> U(8)), pack(n[s:t], "u4"), _listed(words[a:b]),
+                pack(lower[a:b][c[a:b] > 0], kind), pack(c[a:b], "u4"), pack(hot, "u4"), pack(self.hot_of(x[s:t][hot]), "i8"),
             )
 
     def hot_of(self, x: np.ndarray) -> np.ndarray:
@@ -239,11 +265,22 @@ class Block:
     def answered(self, rows: list[dict], hot: list[dict], d: np.ndarray) -> None:
         """``rows``: the parts' answers in order; ``hot``: what is known of contexts in several parts."""
         none = [np.empty(0)]
-        c = np.concatenate([unpack(r["counts"], "u8") for r in rows] or none).astype(np.int64)
+        own, ask = self.slot_own[self.slot], ~self.slot_own
+        c, alone = self.counts(), own.copy()
+        c[~own], alone[~own] = _heard(np.concatenate([unpack(r["counts"], "u8") for r in rows] or [np.empty(0, np.uint64)]))
         # Whatever stands in a text is followed by something, if only by its end: a context's total is its own count.
         total = self.gram_count[self.slot_x].astype(np.float64)
-        few = np.concatenate([unpack(r["few"], "u4").reshape(K, -1) for r in rows] or [np.empty((K, 0), np.uint32)], axis=1)
-        mass = np.concatenate([unpack(r["mass"], "f4") for r in rows] or none).astype(np.float64)
+        few, mass = np.empty((K, len(total)), np.uint32), np.empty(len(total))
+        few[:, ask] = np.concatenate([unpack(r["few"], "u4").reshape(K, -1) for r in rows] or [np.empty((K, 0), np.uint32)], axis=1)
+        mass[ask] = np.concatenate([unpack(r["mass"], "f4") for r in rows] or none)
+        if not ask.all():  # as a part does it, and rounded as a part's answer is
+            e = np.flatnonzero(own & (c > 0))
+            s, lower = self.slot[e], self.p[self.first[e]]
+            if self.order > 2:
+                lower = lower.astype(np.float32)
+            mass[~ask] = np.bincount(s, weights=lower, minlength=len(total))[~ask].astype(np.float32)
+            for k in range(K):
+                few[k, ~ask] = np.bincount(s[c[e] == k + 1], minlength=len(total))[~ask]
         if self.slot_hot.any():
             known = sorted(hot, key=lambda r: r["context"])
             of = np.searchsorted(np.array([r["context"] for r in known]), self.hot_of(self.slot_x[self.slot_hot]))
@@ -261,6 +298,7 @@ class Block:
         self.gram = np.full(len(self.stream), -1, np.int32)
         self.gram[self.tokens] = self.which
         self.gram_hash, self.gram_count = mix(self.gram_hash[self.slot_x[self.slot]] * U(0xD6E8FEB86659FD93) + self.vocab[self.y]), c
+        self.gram_alone = alone
 
 
 def _unigram_asks(parts: int):
@@ -284,9 +322,9 @@ def _unigram_answers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
         h, c = [unpack_sorted(r["words"]) for r in rows], [unpack(r["c"], "u4") for r in rows]
         words, at = np.unique(np.concatenate(h), return_inverse=True)
         total = np.bincount(at, weights=np.concatenate(c), minlength=len(words)).astype(np.int64)
-        out, i = [], 0
+        told, out, i = _told(total, at), [], 0
         for r, x in zip(rows, h, strict=True):
-            out.append((part, r["block"], pack(total[at[i : i + len(x)]], "u8"), *[None] * 7))
+            out.append((part, r["block"], pack(told[i : i + len(x)], "u8"), *[None] * 7))
             i += len(x)
         yield _batch([*out, _tallied(part, total)], ANSWER)
 
@@ -295,7 +333,7 @@ def _standing(rows: list[dict], model: Unigrams, ds: list[np.ndarray], hot: int,
     """A block with all that has been answered so far, and the n-grams of the next order if there is one to come."""
     b = Block(next(r for r in rows if r["kind"] == 0))
     of = lambda kind: [r for r in rows if r["kind"] == kind]
-    b.words(np.concatenate([unpack(r["counts"], "u8") for r in of(2)]).astype(np.int64), model)
+    b.words(np.concatenate([unpack(r["counts"], "u8") for r in of(2)]), model)
     for k, d in enumerate(ds):
         b.grams(hot, least)
         b.answered(of(2 * k + 4), [x for r in of(2 * k + 5) for x in r["hot"]], d)
@@ -308,30 +346,29 @@ def _asks(model: Unigrams, ds: list[np.ndarray], parts: int, hot: int, least: in
             b = _standing(rows, model, ds, hot, least)
             b.grams(hot, least)
             out = [(x[0], block, *x[1:]) for x in b.asks(parts, number, rounds)]
-            many = b.hot_contexts()
-            if len(many) and not number:  # passes the parts untouched
-                out.append((int(block % parts), block, *[None] * 6, pack(many, "i8")))
+            if not number:  # passes the parts untouched
+                out.append((int(block % parts), block, *[None] * 4, pack(b.own_tally(), "i8"), None, pack(b.hot_contexts(), "i8")))
             yield _batch(out, ASK)
 
     return run
 
 
-def _answers(model: Unigrams | None):
-    """Of the parts of one order; ``model`` gives the probabilities of words, for order two."""
+def _answers(model: Unigrams | None, last: bool):
+    """Of the parts of one order; ``model`` gives the probabilities of words, for order two; ``last``: no order follows."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, rows in runs(batches, "part"):
-            passed = [(-1, r["block"], *[None] * 3, r["hot_of"], *[None] * 4) for r in rows if r["contexts"] is None]
+            passed = [x for r in rows if r["contexts"] is None for x in ((-1, r["block"], *[None] * 3, r["hot_of"], *[None] * 4), (part, *[None] * 5, 0, 0, unpack(r["c"], "i8").tolist(), None))]
             rows = [r for r in rows if r["contexts"] is not None]
             if passed:
                 yield _batch(passed, ANSWER)
             if rows:
-                yield _batch(_part(part, rows, model), ANSWER)
+                yield _batch(_part(part, rows, model, last), ANSWER)
 
     return run
 
 
-def _part(part: int, rows: list[dict], model: Unigrams | None) -> list[tuple]:
+def _part(part: int, rows: list[dict], model: Unigrams | None, last: bool) -> list[tuple]:
     v = [unpack_sorted(r["contexts"]) for r in rows]
     n = np.concatenate([unpack(r["grams"], "u4") for r in rows])
     w = [_unlisted(r["words"]) for r in rows]
@@ -349,10 +386,10 @@ def _part(part: int, rows: list[dict], model: Unigrams | None) -> list[tuple]:
     own, seen, m = (keys >> U(40)).astype(np.int64), total > 0, len(contexts)
     few = np.stack([np.bincount(own[total == k], minlength=m) for k in range(1, K + 1)])
     mass = np.bincount(own[seen], weights=lower[seen], minlength=m)
-    out, i, j, hot = [], 0, 0, {}
+    told, out, i, j, hot = _told(total, pair, last), [], 0, 0, {}
     for r, a, b in zip(rows, v, w, strict=True):
-        s, e = slot[i : i + len(a)], pair[j : j + len(b)]
-        out.append((part, r["block"], pack(total[e], "u8"), pack(few[:, s].ravel(), "u4"), pack(mass[s], "f4"), *[None] * 5))
+        s = slot[i : i + len(a)]
+        out.append((part, r["block"], pack(told[j : j + len(b)], "u8"), pack(few[:, s].ravel(), "u4"), pack(mass[s], "f4"), *[None] * 5))
         hot.update(zip(s[unpack(r["hot_at"], "u4")].tolist(), unpack(r["hot_of"], "i8").tolist(), strict=True))
         i, j = i + len(a), j + len(b)
     known = [{"context": h, **{f"f{k}": int(few[k, s]) for k in range(K)}, "mass": float(mass[s])} for s, h in sorted(hot.items())]
@@ -400,8 +437,8 @@ def katz_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     probability; score is that of the Katz model of the given ``order``: a seen n-gram gets its discounted
     relative frequency, another backs off to the next lower order times the context's weight, which makes the
     successors of every context, unknown words included, sum to 1. A text's first words have as long a context as
-    there is; its start counts as one word. Contexts of two words or more that training has fewer than ``least``
-    times are left out, as if never seen. A null or empty text is its end alone. With no training text every
+    there is; its start counts as one word. With ``least`` above one, contexts of two words or more that training
+    has fewer times are left out, as if never seen. A null or empty text is its end alone. With no training text every
     score is 0. Rows, also repeated ones, give one row each; other columns are not looked at.
 
     ``block`` is the number of tokens held together (one text at least), ``hot`` that of a context's training
@@ -441,7 +478,11 @@ def katz_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         answers = None
         for number in range(rounds if n > 2 else 1):
             asks = in_arrow(by_block(), _asks(model, ds, parts, hot, least, number, rounds if n > 2 else 1), ASK_SQL)
-            some = materialize(in_arrow(meet(asks), _answers(model if n == 2 else None), ANSWER_SQL))
+            if n > 2:  # written first: the blocks' shuffle is given back before the asks are dealt out
+                asks = materialize(asks)
+            some = materialize(in_arrow(meet(asks), _answers(model if n == 2 else None, n == order), ANSWER_SQL))
+            if n > 2:
+                delete(asks)
             answers = some if answers is None else answers.unionByName(some)
         ds = [*ds, discounts(_facts(answers)[2])]
         given += [(2 * n, answers.where("block is not null and part >= 0")), (2 * n + 1, _by_block(answers))]

@@ -80,6 +80,14 @@ def test_scores_match_brute_force(spark, hot, block, order, least):
         assert r.base_score == pytest.approx(base) and r.score == pytest.approx(score, rel=1e-5)
 
 
+@pytest.mark.parametrize("kwargs", [{}, {"block": 150}, {"block": 150, "hot": 7, "rounds": 3}])
+def test_contexts_that_training_has_once_or_twice_count(spark, kwargs):
+    data = rows(8)
+    got = {r.id: r.score for r in katz_scores(spark.createDataFrame(data, SCHEMA).repartition(2), **kwargs).collect()}
+    for i, *_, score in brute(data, 3, 1):
+        assert got[i] == pytest.approx(score, rel=1e-5)
+
+
 def test_nothing_to_learn_from_and_empty_table(spark):
     got = katz_scores(spark.createDataFrame([(1, "a b", False), (None, None, None)], SCHEMA)).collect()
     assert sorted((r.n_tokens, r.n_known, r.score, r.base_score) for r in got) == [(1, 0, 0.0, 0.0), (3, 0, 0.0, 0.0)]
