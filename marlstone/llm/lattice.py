@@ -127,18 +127,21 @@ class Lattice:
         # Backward sums, by distance from the end; a string's last node has 0.
         far = left[src]
         order = np.argsort(far.astype(np.uint16) if n == 0 or left.max() < 1 << 16 else far, kind="stable")
-        s, w, l = src[order], width[order], logs[order]
+        self.src, self.width, self.piece = src, width, piece
+        self.last = width == far  # the edge ends the string
+        target = np.where(self.last, n, src + width)  # beta[n] stays 0
+        s, to, l = src[order], target[order], logs[order]
         beta = np.zeros(n + 1)
-        level = np.flatnonzero(np.append(True, left[s][1:] != left[s][:-1])) if len(s) else np.empty(0, np.int64)
-        for a, b in zip(level, np.append(level, len(s))[1:], strict=True):
-            to = s[a:b] + w[a:b]
-            v = l[a:b] + np.where(w[a:b] == left[s[a:b]], 0.0, beta[np.minimum(to, n)])
-            first = np.flatnonzero(np.append(True, s[a + 1 : b] != s[a : b - 1]))
+        head = np.flatnonzero(np.append(True, s[1:] != s[:-1])) if len(s) else np.empty(0, np.int64)  # a node's first edge
+        fan, node = np.diff(np.append(head, len(s))), s[head]
+        level = np.flatnonzero(np.append(True, left[node][1:] != left[node][:-1])) if len(s) else np.empty(0, np.int64)
+        for i, j in zip(level.tolist(), [*level.tolist(), len(head)][1:], strict=True):
+            a, b = head[i], head[j] if j < len(head) else len(s)
+            v, first = l[a:b] + beta[to[a:b]], head[i:j] - a
             top = np.maximum.reduceat(v, first)
-            beta[s[a:b][first]] = top + np.log(np.add.reduceat(np.exp(v - np.repeat(top, np.diff(np.append(first, b - a)))), first))
-        self.src, self.width, self.piece = src, width, piece
-        self.last = self.width == left[self.src]  # the edge ends the string
-        self.logp = logs + np.where(self.last, 0.0, beta[np.minimum(self.src + self.width, n)]) - beta[self.src]
+            v -= np.repeat(top, fan[i:j])
+            beta[node[i:j]] = top + np.log(np.add.reduceat(np.exp(v, out=v), first))
+        self.logp = logs + beta[target] - beta[src]
         self.p = np.exp(self.logp)
         self.start = np.cumsum(size) - size
 
@@ -153,11 +156,22 @@ def _pick(lat: Lattice, node: np.ndarray, u: np.ndarray, without: list[np.ndarra
     """An edge of each node by its probability, with the edges of ``without`` (-1: none) left out."""
     e = lat.first_edge[node]
     stop = lat.first_edge[node + 1]
-    if without:
-        free = np.ones(len(node))
-        for x in without:
-            free -= np.where(x >= 0, lat.p[x], 0.0)
-        u = u * np.maximum(free, 0)
+    if not without:
+        out = e.astype(np.int64)
+        rest = u - lat.p[out]
+        live = np.flatnonzero((rest >= 0) & (out + 1 < stop))
+        rest, at, stop = rest[live], out[live], stop[live]
+        while len(live):
+            at += 1
+            out[live] = at
+            rest -= lat.p[at]
+            go = (rest >= 0) & (at + 1 < stop)
+            live, rest, at, stop = live[go], rest[go], at[go], stop[go]
+        return out
+    free = np.ones(len(node))
+    for x in without:
+        free -= np.where(x >= 0, lat.p[x], 0.0)
+    u = u * np.maximum(free, 0)
     out = np.full(len(node), -1)
     live = np.arange(len(node))
     rest = u.copy()
